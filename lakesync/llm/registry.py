@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat_snapshots import OP5_SQL, op5_chat_snapshots
 from .mix_sources import op8_mix_sources
+from .secret_scan import op2_secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secret_scan": op2_secret_scan,
+    "op5_chat_snapshots": op5_chat_snapshots,
     "op8_mix_sources": op8_mix_sources,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_chat_snapshots": OP5_SQL,
+}
