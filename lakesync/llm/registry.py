@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from .chat_snapshots import OP5_SQL, op5_chat_snapshots
 from .mix_sources import op8_mix_sources
 from .secret_scan import op2_secret_scan
+from .winnowing import op6_winnowing
 from .warc_archive import op9_warc_archive
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op5_chat_snapshots": op5_chat_snapshots,
+    "op6_winnowing": op6_winnowing,
     "op8_mix_sources": op8_mix_sources,
     "op9_warc_archive": op9_warc_archive,
 }
