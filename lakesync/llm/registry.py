@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .chat_snapshots import OP5_SQL, op5_chat_snapshots
+from .language_id import op7_language_id
 from .mix_sources import op8_mix_sources
 from .secret_scan import op2_secret_scan
 from .winnowing import op6_winnowing
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op5_chat_snapshots": op5_chat_snapshots,
     "op6_winnowing": op6_winnowing,
+    "op7_language_id": op7_language_id,
     "op8_mix_sources": op8_mix_sources,
     "op9_warc_archive": op9_warc_archive,
 }
