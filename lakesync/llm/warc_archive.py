@@ -1,8 +1,8 @@
 """WARC archives in the dictionary-compressed form: one Zstandard dictionary in a leading skippable frame of each
 file, every record in a frame of its own, so that a record can be read without those before it.
 
-The dictionary is trained on a bounded sample of the payloads (SAMPLE_RECORDS of at most SAMPLE_CHARS characters, by
-hash of their digest); where training finds too little, the sample itself is a raw dictionary, and without a sample
+The dictionary is trained on a bounded sample of the payloads (about SAMPLE_RECORDS, never over twice as many, of at
+most SAMPLE_CHARS characters, drawn by hash); where training finds too little, the sample itself is a raw dictionary, and without a sample
 there is none. Files are written to the folder that all machines share, under a name that a repeated task reuses, and
 appear there by one rename.
 
@@ -179,9 +179,11 @@ def write_archives(pages: DataFrame, folder: str, *, page_id: str = "page_id", u
     rows = pages.select(
         F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html")
     ).withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
-    sample = rows.where((F.length("html") > 0) & (F.length("html") <= SAMPLE_CHARS)).orderBy("digest").limit(SAMPLE_RECORDS).select("html").collect()
-    dictionary = build_dictionary([r["html"].encode() for r in sample])
     known = Scratch(spark, "warc").table(rows.select("page_id", "digest", F.octet_length("html").alias("bytes")), "digests")
+    share = SAMPLE_RECORDS / max(known.count(), 1)
+    drawn = F.xxhash64("digest", "page_id") / F.lit(2.0**64) + 0.5 < share
+    sample = rows.where(drawn & (F.length("html") > 0) & (F.length("html") <= SAMPLE_CHARS)).select("html").limit(2 * SAMPLE_RECORDS).collect()
+    dictionary = build_dictionary([r["html"].encode() for r in sample])
     first = known.where(F.col("bytes") >= DEDUP_BYTES).groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1")
     again = known.join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("page_id", "digest", "refers_to").distinct()
     again = again.select(F.xxhash64("page_id", "digest").alias("row"), F.col("page_id").alias("again"), F.col("digest").alias("again_digest"), "refers_to")
