@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .chat_snapshots import OP5_SQL, op5_chat_snapshots
+from .decontaminate import op3_decontaminate
 from .jaccard_join import op1_jaccard_join
 from .language_id import op7_language_id
 from .mix_sources import op8_mix_sources
@@ -17,6 +18,7 @@ from .warc_archive import op9_warc_archive
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_secret_scan": op2_secret_scan,
+    "op3_decontaminate": op3_decontaminate,
     "op5_chat_snapshots": op5_chat_snapshots,
     "op6_winnowing": op6_winnowing,
     "op7_language_id": op7_language_id,
