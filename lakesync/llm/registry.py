@@ -13,12 +13,14 @@ from .language_id import op7_language_id
 from .mix_sources import op8_mix_sources
 from .secret_scan import op2_secret_scan
 from .winnowing import op6_winnowing
+from .token_counts import op4_token_counts
 from .warc_archive import op9_warc_archive
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_secret_scan": op2_secret_scan,
     "op3_decontaminate": op3_decontaminate,
+    "op4_token_counts": op4_token_counts,
     "op5_chat_snapshots": op5_chat_snapshots,
     "op6_winnowing": op6_winnowing,
     "op7_language_id": op7_language_id,
