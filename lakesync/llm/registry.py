@@ -11,6 +11,7 @@ from .decontaminate import op3_decontaminate
 from .jaccard_join import op1_jaccard_join
 from .language_id import op7_language_id
 from .mix_sources import op8_mix_sources
+from .quality import op10_quality
 from .secret_scan import op2_secret_scan
 from .winnowing import op6_winnowing
 from .token_counts import op4_token_counts
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": op7_language_id,
     "op8_mix_sources": op8_mix_sources,
     "op9_warc_archive": op9_warc_archive,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
