@@ -1 +1 @@
-"""Part of lakesync."""
+"""Names, literal coercion, partition transforms and type normalisation."""

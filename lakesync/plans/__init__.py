@@ -1 +1 @@
-"""Part of lakesync."""
+"""Sync jobs: configuration, order, retries and runs."""

@@ -1 +1 @@
-"""Part of lakesync."""
+"""Snapshot tables, their catalog, and query sources."""

@@ -1 +1 @@
-"""Part of lakesync."""
+"""Runs triggered by messages."""
