@@ -35,8 +35,8 @@ def page_sql(sql: str, cursor: str | None, size: int, offset: int = 0, dialect:
     rows = {"limit": lambda a, b: f"LIMIT {a}" + (f" OFFSET {b}" if b is not None else ""), "fetch": lambda a, b: (f"OFFSET {b} ROWS " if b is not None else "") + f"FETCH NEXT {a} ROWS ONLY"}[dialect]
     if cursor:
         name = f'"{CURSOR}"' if dialect == "fetch" else CURSOR
-        return f"SELECT * FROM (SELECT _i.*, _i.{cursor} AS {name} FROM ({sql}) _i) _q WHERE {name} > :_cursor ORDER BY {name} {rows(size, None)}"
-    return f"SELECT * FROM ({sql}) _q {rows(size, offset)}"
+        return f"SELECT * FROM (SELECT i.*, i.{cursor} AS {name} FROM ({sql}) i) p WHERE {name} > :_cursor ORDER BY {name} {rows(size, None)}"
+    return f"SELECT * FROM ({sql}) p {rows(size, offset)}"
 
 
 def page_count(rows: int, size: int) -> int:

@@ -26,7 +26,7 @@ def parameter_names(sql: str) -> list[str]:
 
 
 def literal(value: Any) -> str:
-    """A value as an SQL literal."""
+    """A value as an SQL literal for a JDBC query."""
     if value is None:
         return "NULL"
     if isinstance(value, bool):
@@ -34,9 +34,9 @@ def literal(value: Any) -> str:
     if isinstance(value, (int, float)):
         return repr(value)
     if isinstance(value, datetime):
-        return f"TIMESTAMP '{value.isoformat(' ')}'"
+        return f"{{ts '{value.isoformat(' ')}'}}"  # JDBC's own notation, which every driver translates
     if isinstance(value, date):
-        return f"DATE '{value.isoformat()}'"
+        return f"{{d '{value.isoformat()}'}}"
     return "'" + str(value).replace("'", "''") + "'"
 
 

@@ -1,0 +1,242 @@
+from datetime import datetime, timedelta
+
+import pytest
+from conftest import rows
+
+from lakesync.plans.config import parse
+from lakesync.plans.engine import SyncEngine, watermark_key
+from lakesync.sources.catalog import Catalog
+from lakesync.sources.queries import JdbcSource, SparkSource, dsn_to_jdbc, literal, parameter_names, render
+from lakesync.streaming.consumer import Consumer
+
+BASE = datetime(2020, 1, 1)
+SHAPE = "id long, stage int, label string, value long, event_at timestamp_ntz"
+
+
+class World:
+    """A source that grows, a catalog, and jobs over both."""
+
+    def __init__(self, spark, folder, **job):
+        self.spark, self.catalog = spark, Catalog(spark, f"file://{folder}/wh")
+        given = {"name": "j", "source": "s", "destination": "d", "namespace": "n", "table": "t", "sql": "'SELECT * FROM src'", **job}
+        text = "sources: {s: {type: spark}}\ndestinations: {d: {warehouse: x}}\nretry: {max_attempts: 1}\nsync_jobs:\n  - {" + ", ".join(f"{k}: {v}" for k, v in given.items()) + "}"
+        self.config = parse(text)
+        self.engine = SyncEngine(spark, self.config, catalogs={"d": self.catalog}, sources={"s": SparkSource(spark)})
+
+    def run(self, data, shape=SHAPE):
+        self.spark.createDataFrame(data, shape).createOrReplaceTempView("src")
+        return self.engine.run(self.config.job("j"))
+
+    @property
+    def table(self):
+        return self.catalog.load("n.t")
+
+
+def events(*ids):
+    return [(i, 1, f"e{i}", i * 10, BASE + timedelta(seconds=i)) for i in ids]
+
+
+@pytest.mark.parametrize("granularity", ["run", "batch"])
+@pytest.mark.parametrize("stages", [[3, 3, 2], [2, 0], [25], [5, 1, 10, 3, 7], [2, 0, 1]])
+def test_incremental_append(spark, tmp_path, stages, granularity):
+    world = World(spark, tmp_path, sql="'SELECT * FROM src WHERE event_at > :watermark'", watermark_column="event_at", watermark_type="timestamp", cursor_column="id", batch_size=10, commit_granularity=granularity)
+    total, marks = 0, []
+    for n in stages:
+        total += n
+        summary = world.run(events(*range(total)))
+        marks.append(world.table.metadata().properties[watermark_key("event_at")])
+        assert summary.rows_written == n and world.table.count() == total and summary.pages == n // 10 + 1
+    assert rows(world.table.read()) == rows(spark.createDataFrame(events(*range(total)), SHAPE))
+    assert marks == sorted(marks) and len(set(marks)) == sum(n > 0 for n in stages)
+
+
+def test_text_cursor_and_duplicate_page_borders(spark, tmp_path):
+    world = World(spark, tmp_path, sql="'SELECT label, event_at FROM src WHERE event_at > :watermark'", watermark_column="event_at", cursor_column="label", cursor_type="text", batch_size=3, commit_granularity="batch")
+    data = [(i, 1, f"UID-{i:05d}", i, BASE + timedelta(seconds=i)) for i in range(1, 12)]
+    assert world.run(data[:8]).pages == 3 and world.run(data).rows_written == 3 and world.run(data).rows_written == 0 and world.table.count() == 11
+
+
+def test_wrong_cursors_and_watermarks_raise(spark, tmp_path):
+    for k, job in enumerate(({"cursor_column": "absent"}, {"cursor_column": "label"}, {"cursor_column": "id", "cursor_type": "text"}, {"watermark_column": "absent"})):
+        with pytest.raises(ValueError):
+            World(spark, tmp_path / str(k), **job).run(events(1))
+
+
+def test_failed_batch_run_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
+    world = World(spark, tmp_path, sql="'SELECT * FROM src WHERE event_at > :watermark'", watermark_column="event_at", cursor_column="id", batch_size=2, commit_granularity="batch")
+    late_first = [(i, 1, "x", i, BASE + timedelta(seconds=100 - i)) for i in range(5)]  # times against the cursor's order
+    from lakesync.sources.snapshot import SnapshotTable
+
+    real, calls = SnapshotTable.commit_append, []
+
+    def breaks(self, *args):
+        calls.append(1)
+        if len(calls) == 2:
+            raise OSError("lost")
+        return real(self, *args)
+
+    monkeypatch.setattr(SnapshotTable, "commit_append", breaks)
+    with pytest.raises(OSError):
+        world.run(late_first)
+    assert world.table.count() == 2 and watermark_key("event_at") not in world.table.metadata().properties
+    world.run(late_first)
+    assert [r[0] for r in rows(world.table.read())] == [0, 1, 2, 3, 4]
+
+
+def test_retry_of_a_full_run_does_not_repeat_rows(spark, tmp_path, monkeypatch):
+    world = World(spark, tmp_path, mode="full", retry="{max_attempts: 2, initial_delay_ms: 1}")
+    from lakesync.sources.snapshot import SnapshotTable
+
+    real, calls = SnapshotTable.commit_append, []
+
+    def breaks(self, *args):
+        calls.append(1)
+        if len(calls) == 1:
+            raise OSError("lost")
+        return real(self, *args)
+
+    monkeypatch.setattr(SnapshotTable, "commit_append", breaks)
+    assert world.run(events(1, 2, 3)).rows_written == 3 and world.table.count() == 3
+
+
+SNAP = "id long, snap_date string, amount double"
+
+
+def test_overwrite_by_column(spark, tmp_path):
+    world = World(spark, tmp_path, write_mode="overwrite", partition_column="snap_date", mode="full", batch_size=1)
+    assert world.run([(i, "2024-01-01", 1.0) for i in range(3)], SNAP).rows_written == 3
+    summary = world.run([(8, "2024-01-01", 2.0), (9, "2024-01-02", 2.0)], SNAP)
+    assert rows(world.table.read()) == [(8, "2024-01-01", 2.0), (9, "2024-01-02", 2.0)] and summary.rows_deleted == 3
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp_ntz", "timestamp"])
+def test_overwrite_by_day(spark, tmp_path, kind):
+    world = World(spark, tmp_path, write_mode="overwrite", iceberg_partition="{column: d, transform: day}", mode="full")
+    day = lambda n, h=0: (datetime(2024, 1, n, h) if kind != "date" else datetime(2024, 1, n).date())
+    shape = f"id long, d {kind}"
+    world.run([(i, day(1, i)) for i in range(3)], shape)
+    world.run([(i, day(2, i)) for i in range(10, 12)], shape)
+    assert world.table.count() == 5
+    summary = world.run([(20, day(1, 7))], shape)
+    assert [r[0] for r in rows(world.table.read())] == [10, 11, 20] and summary.rows_deleted == 3
+    assert world.table.metadata().partition == {"column": "d", "transform": "day"} and {f.partition for f in world.table.manifest()} == {"2024-01-01", "2024-01-02"}
+
+
+@pytest.mark.parametrize("transform,partitions", [("hour", {"2024-01-31-23", "2024-02-01-00"}), ("month", {"2024-01", "2024-02"}), ("year", {"2024"})])
+def test_append_to_partitions(spark, tmp_path, transform, partitions):
+    world = World(spark, tmp_path, iceberg_partition=f"{{column: d, transform: {transform}}}", mode="full")
+    world.run([(1, datetime(2024, 1, 31, 23, 59)), (2, datetime(2024, 2, 1)), (3, datetime(2024, 2, 1, 0, 30))], "id long, d timestamp_ntz")
+    assert {f.partition for f in world.table.manifest()} == partitions and world.table.count() == 3
+
+
+def test_bad_partition_spec_raises(spark, tmp_path):
+    with pytest.raises(ValueError):
+        World(spark, tmp_path, iceberg_partition="{column: id, transform: day}", mode="full").run(events(1))
+
+
+ENTITY = "id long, tenant string, status string"
+
+
+def test_upsert(spark, tmp_path):
+    world = World(spark, tmp_path, write_mode="upsert", merge="{key_columns: [tenant, id]}", mode="full")
+    world.run([(1, "a", "new"), (1, "b", "new"), (2, "a", "new"), (None, "a", "new")], ENTITY)
+    summary = world.run([(1, "a", "old"), (3, "a", "new"), (None, "a", "old")], ENTITY)
+    assert rows(world.table.read()) == [(1, "a", "old"), (1, "b", "new"), (2, "a", "new"), (3, "a", "new"), (None, "a", "old")] and summary.rows_deleted == 2
+    assert len(world.table.metadata().snapshots) == 2  # history stays
+    assert world.run([], ENTITY).rows_written == 0 and world.table.count() == 5
+
+
+def test_upsert_keeps_the_last_of_equal_keys_when_asked(spark, tmp_path):
+    world = World(spark, tmp_path, write_mode="upsert", merge="{key_columns: [id], order_by: [status]}", mode="full")
+    world.run([(1, "a", "1"), (1, "a", "2"), (2, "a", "1")], ENTITY)
+    assert rows(world.table.read()) == [(1, "a", "2"), (2, "a", "1")]
+
+
+CDC = "id long, name string, _op string"
+
+
+def test_merge_into(spark, tmp_path):
+    world = World(spark, tmp_path, write_mode="merge_into", merge="{key_columns: [id]}", mode="full")
+    world.run([(i, "a", "I") for i in (1, 2, 3)], CDC)
+    world.run([(1, "b", "U"), (2, None, "delete"), (4, "d", "insert")], CDC)
+    assert rows(world.table.read()) == [(1, "b"), (3, "a"), (4, "d")] and world.table.read().columns == ["id", "name"]
+    world.run([(5, "e", None), (6, "f", "?")], CDC)  # nothing but inserts: what is there stays
+    assert [r[0] for r in rows(world.table.read())] == [1, 3, 4, 5, 6]
+    world.run([(i, None, "D") for i in (1, 3, 4, 5, 6)], CDC)
+    assert world.table.count() == 0
+
+
+def test_new_columns(spark, tmp_path):
+    for allowed, want in ((True, [(1, None), (2, "x")]), (False, [(1,), (2,)])):
+        world = World(spark, tmp_path / str(allowed), mode="full", schema_evolution=f"{{allow_add_columns: {str(allowed).lower()}}}")
+        world.run([(1,)], "id long")
+        world.run([(2, "x")], "id long, extra string")
+        assert rows(world.table.read()) == want
+
+
+def test_dry_run_makes_nothing(spark, tmp_path):
+    world = World(spark, tmp_path)
+    world.engine.dry_run = True
+    assert world.run(events(1, 2)).rows_written == 2 and world.catalog.namespaces() == []
+
+
+def test_first_run_without_rows(spark, tmp_path):
+    world = World(spark, tmp_path)
+    assert world.run([], SHAPE).rows_written == 0 and not world.catalog.exists("n.t")
+
+
+def test_parameters():
+    sql = "SELECT ':no', x::text -- :no\n FROM t WHERE a = :user AND b = :user_id AND c > '00:00:00' /* :no */ AND d = :user"
+    assert parameter_names(sql) == ["user", "user_id"]
+    assert "a = 'O''Brien' AND b = 7" in render(sql, {"user": "O'Brien", "user_id": 7, "more": 1})
+    assert [literal(v) for v in (None, True, 1.5, datetime(2024, 1, 1), datetime(2024, 1, 1).date())] == ["NULL", "TRUE", "1.5", "{ts '2024-01-01 00:00:00'}", "{d '2024-01-01'}"]
+    with pytest.raises(ValueError):
+        render("SELECT :x", {})
+    url, options = dsn_to_jdbc("host=h port=1 dbname=d user=u password='p w' sslmode=disable")
+    assert url == "jdbc:postgresql://h:1/d?sslmode=disable" and options["password"] == "p w"
+
+
+def test_jdbc(spark):
+    url = "jdbc:derby:memory:src;create=true"
+    from pyspark.sql import functions as F
+
+    spark.range(20).select("id", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, id)").alias("at"), F.lit(1.25).cast("decimal(9,2)").alias("price")).write.format("jdbc").options(url=url, dbtable="src").mode("overwrite").save()
+    source = JdbcSource(spark, url)
+    df = source.query('SELECT "id", "at", "price" FROM src WHERE "at" > :watermark', {"watermark": datetime(2024, 1, 1, 10)})
+    assert df.count() == 9 and df.schema.simpleString() == "struct<id:bigint,at:timestamp_ntz,price:double>"
+    assert source.query('SELECT "id" FROM src', {}, ("id", 0, 20, 4)).rdd.getNumPartitions() == 4
+    from lakesync.operators.paging import page_sql
+
+    page = page_sql('SELECT "id" FROM src', '"id"', 5, dialect="fetch")
+    assert [r[0] for r in source.query(page, {"_cursor": 14}).collect()] == [15, 16, 17, 18, 19]
+
+
+def test_consumer(spark, tmp_path):
+    world = World(spark, tmp_path, sql="'SELECT * FROM src WHERE id = :id'", mode="full")
+    text = f"""
+sources: {{s: {{type: spark}}}}
+destinations: {{d: {{warehouse: x}}}}
+retry: {{max_attempts: 1}}
+rabbitmq: {{uri: "file://{tmp_path}/q", queues: [{{queue: a.b, job: j, dead_letter_exchange: dlx}}]}}
+sync_jobs:
+  - {{name: j, source: s, destination: d, namespace: n, table: t, sql: 'SELECT * FROM src WHERE id = :id', mode: full}}
+"""
+    config = parse(text)
+    engine = SyncEngine(spark, config, catalogs={"d": world.catalog}, sources={"s": SparkSource(spark)})
+    spark.createDataFrame(events(1, 2, 3), SHAPE).createOrReplaceTempView("src")
+    folder = tmp_path / "q" / "a.b"
+    folder.mkdir(parents=True)
+    (folder / "1.json").write_text('{"id": 1}\n[]\n{"other": 1}\n\n{"id": 3}\n')
+    consumer = Consumer(spark, engine, config, f"file://{tmp_path}/cp")
+    consumer.run(once=True)
+    assert [r[0] for r in rows(world.table.read())] == [1, 3]
+    dead = world.catalog.load("dead_letters.a_b").read()
+    assert sorted(r["payload"] for r in dead.collect()) == ["[]", '{"other": 1}']
+    messages = spark.read.text(f"file://{folder}").select("value", "_metadata")
+    consumer.handle(config.rabbitmq.queues[0], messages, 0)  # a replay of the same micro-batch
+    assert world.table.count() == 2
+    (folder / "2.json").write_text('{"id": 2}')
+    consumer.run(once=True)
+    assert world.table.count() == 3
+    with pytest.raises(ValueError):
+        Consumer(spark, engine, world.config, "x")
