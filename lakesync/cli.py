@@ -13,7 +13,7 @@ from .functions.idents import parse_pair, parse_schema, parse_table, parse_type
 from .plans import config as configs
 from .plans.engine import SyncEngine
 from .plans.scheduler import ordered, run_jobs
-from .session import build_session
+from .session import build_session, store_settings
 from .sources.catalog import Catalog
 from .streaming.consumer import Consumer
 
@@ -156,6 +156,10 @@ class Commands:
 def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="lakesync", description="Snapshot tables and incremental synchronisation on Spark")
     out.add_argument("--warehouse", default="warehouse", help="folder or URL of tables and catalog")
+    out.add_argument("--s3-endpoint")
+    out.add_argument("--region", default="us-east-1")
+    for flag in ("--access-key-id", "--secret-access-key", "--session-token"):
+        out.add_argument(flag)
     out.add_argument("--master", help="Spark master; spark-submit's own by default")
     out.add_argument("-v", "--verbose", action="count", default=0)
     commands = out.add_subparsers(dest="command", required=True)
@@ -198,7 +202,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         for name in ("table", "from_", "to"):
             if (given := getattr(args, name, None)) is not None:
                 parse_table(given)
-        spark = spark or build_session(**({"spark.master": args.master} if args.master else {}))
+        store = store_settings(args.s3_endpoint, args.region, args.access_key_id, args.secret_access_key, args.session_token)
+        settings = {f"spark.hadoop.{k}": v for k, v in store.items()} | ({"spark.master": args.master} if args.master else {})
+        spark = spark or build_session(**settings)
         getattr(Commands(spark, args.warehouse), args.command.replace("-", "_"))(args)
     except Exception as error:  # noqa: BLE001  a command line says what went wrong
         print(f"Error: {error}", file=sys.stderr)

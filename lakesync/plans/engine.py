@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from ..operators import write_modes as modes
 from ..operators.paging import CURSOR, keyset_page, page_count, strip
+from ..session import store_settings
 from ..sources.catalog import Catalog
 from ..sources.queries import Source, open_source
 from ..sources.snapshot import Metadata, SnapshotTable
@@ -52,6 +53,9 @@ class SyncEngine:
     def catalog(self, name: str) -> Catalog:
         if name not in self._catalogs:
             found = self.config.destinations[name]
+            store = store_settings(found.s3_endpoint, found.region, found.access_key_id, found.secret_access_key, found.session_token)
+            for key, value in store.items():
+                self.spark._jsc.hadoopConfiguration().set(key, value)
             self._catalogs[name] = Catalog(self.spark, found.warehouse or found.catalog_uri)
         return self._catalogs[name]
 
