@@ -43,14 +43,15 @@ def prefix_hashes(turns: DataFrame) -> DataFrame:
     """
     said = turns.select("conv_id", "key", "part", "turn", "role", "h1", "h2")
     own = Window.partitionBy("key", "part")
-    ordered = own.orderBy(F.col("turn").asc_nulls_first(), "role", "h1", "h2").rowsBetween(Window.unboundedPreceding, 0)
+    ordered = own.orderBy(F.col("turn").asc_nulls_first(), "role", "h1", "h2")
+    so_far = own.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)  # not by what equal rows share
     earlier = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = said.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n")).select(
         "key", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"), F.sum("n").over(Window.partitionBy("key")).alias("n_turns")
     )
     placed = said.withColumn("pos", F.row_number().over(ordered)).join(starts, ["key", "part"]).withColumn("pos", F.col("pos") + F.col("start"))
     hashed = placed.withColumn("g1", F.xxhash64(F.lit(3), "pos", "h1")).withColumn("g2", F.xxhash64(F.lit(4), "pos", "h2"))
-    rolled = hashed.withColumn("p1", F.bit_xor("g1").over(ordered)).withColumn("p2", F.bit_xor("g2").over(ordered))
+    rolled = hashed.withColumn("p1", F.bit_xor("g1").over(so_far)).withColumn("p2", F.bit_xor("g2").over(so_far))
     parts = hashed.groupBy("key", "part").agg(F.bit_xor("g1").alias("x1"), F.bit_xor("g2").alias("x2")).select(
         "key", "part", F.coalesce(F.bit_xor("x1").over(earlier), F.lit(0)).alias("b1"), F.coalesce(F.bit_xor("x2").over(earlier), F.lit(0)).alias("b2")
     )
