@@ -133,8 +133,8 @@ def _redact_all(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.S
         yield pd.Series(out, dtype=object)
 
 
-def redact_secrets(docs: DataFrame, *, text: str = "text", mark: str = "[secret:{kind}]") -> DataFrame:
-    """docs with every span in the text replaced by a mark; overlapping spans get one mark, a null text stays null."""
+def redact_secrets(docs: DataFrame, *, text: str = "text", mark: str = "[redacted {kind}]") -> DataFrame:
+    """docs with every span in the text replaced by a mark (which no grammar matches); overlapping spans get one mark, a null text stays null."""
     small_batches(docs.sparkSession)
     return docs.withColumn(text, F.pandas_udf(_redact_all, "string")(F.col(text).cast("string"), F.lit(mark)))
 
