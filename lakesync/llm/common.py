@@ -22,7 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         path = f"file://{tempfile.mkdtemp(prefix='lakesync-')}"
         spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)  # with its store's name, so that Python workers find the same one
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString().rstrip("/")
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
