@@ -124,4 +124,30 @@ def contaminated(
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    found = contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.col("start").cast("long").alias("start"), F.col("n_words").cast("long").alias("n_words"), "similarity")
+
+
+OP3_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents
+), i AS (
+  SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark
+), ds AS (
+  SELECT doc_id, p, array_to_string(w[p + 1 : p + 5], ' ') AS s FROM (SELECT doc_id, w, unnest(range(len(w) - 4)) AS p FROM d WHERE len(w) >= 5)
+), its AS (
+  SELECT item_id, n, array_to_string(w[p + 1 : p + 5], ' ') AS s, count(*) AS c FROM (SELECT item_id, w, len(w) AS n, unnest(range(len(w) - 4)) AS p FROM i WHERE len(w) >= 5) GROUP BY 1, 2, 3
+), pairs AS (
+  SELECT DISTINCT ds.doc_id, its.item_id, its.n FROM ds JOIN its ON ds.s = its.s
+), windows AS (
+  SELECT pairs.doc_id, item_id, n, len(w) AS words, unnest(range(greatest(len(w) - n, 0) + 1)) AS start FROM pairs JOIN d ON d.doc_id = pairs.doc_id
+), counted AS (
+  SELECT v.doc_id, v.item_id, v.n, v.start, least(v.n, v.words) - 4 AS size, ds.s, count(*) AS c
+  FROM windows v JOIN ds ON ds.doc_id = v.doc_id AND ds.p BETWEEN v.start AND v.start + v.n - 5 GROUP BY ALL
+), scored AS (
+  SELECT k.doc_id, k.item_id, k.n, k.start, k.size, sum(least(k.c, its.c)) AS shared FROM counted k JOIN its ON its.item_id = k.item_id AND its.s = k.s GROUP BY ALL
+), near AS (
+  SELECT doc_id, item_id, n, start, shared / (size + n - 4 - shared) AS similarity FROM scored WHERE shared >= 0.8 * (size + n - 4 - shared) - 1e-9
+)
+SELECT doc_id, item_id, start, n AS n_words, similarity FROM near QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+"""

@@ -230,3 +230,15 @@ def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = scratch.table(write_archives(read_table(spark, sf_dir, "pages"), scratch.path("warc")), "manifest")
     paths = [r["path"] for r in written.select("path").collect()]
     return read_archives(spark, paths).drop("payload", "url")
+
+
+OP9_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), first AS (
+  SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM p LEFT JOIN first USING (payload_digest)
+"""

@@ -1,0 +1,62 @@
+import zlib
+
+import numpy as np
+from conftest import DATA
+from helpers import odd_documents
+
+from lakesync.llm import language_id as li
+
+
+def test_vectors_are_bound_permuted_and_bundled():
+    a, b, c = (li.letter_vector(ord(x)) for x in "abc")
+    want = np.roll(a, 2) * np.roll(b, 1) * c
+    assert (li.gram_vector(ord("a") << 42 | ord("b") << 21 | ord("c")) == want).all() and abs((a @ b.astype(int)) / li.DIMENSIONS) < 0.15
+    found, n = li.grams("AB  b!")
+    spell = lambda g: "".join(chr(int(g) >> 21 * k & 0x1FFFFF) for k in (2, 1, 0))
+    assert {spell(g): int(m) for g, m in zip(found, n, strict=True)} == {" ab": 1, "ab ": 1, "b b": 1, " b ": 1, "b  ": 1, "   ": 1}
+    vector = li.bundle([(found, n)])[0]
+    assert np.allclose(vector, sum(int(m) * li.gram_vector(int(g)).astype(int) for g, m in zip(found, n, strict=True)))
+    assert len(li.grams("12 !?")[0]) == 0 and len(li.grams(None)[0]) == 0
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet")
+    found = {r["doc_id"]: r for r in li.op7_language_id(spark, f"{DATA}/sf0.01").collect()}
+    right = total = 0
+    for r in docs.collect():
+        x = found[r["doc_id"]]
+        assert x["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and 0 <= x["score"] <= 1
+        if x["held_out"]:
+            total, right = total + 1, right + (x["lang_pred"] == r["lang"])
+    assert total > 200 and right / total > 0.98
+
+
+def test_labels_of_held_out_documents_do_not_matter(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{DATA}/sf0.001/documents.parquet")
+    wrong = docs.withColumn("lang", F.when(li.fold(F.col("doc_id")) == 2, "xx").otherwise(F.col("lang")))
+    one, two = (li.train(d.where(li.fold(F.col("doc_id")) != 2)) for d in (docs, wrong))
+    assert list(one) == list(two) and all((one[k] == two[k]).all() for k in one)
+
+
+def test_odd_documents(spark):
+    docs = odd_documents(spark).drop("language")
+    prototypes = li.train(docs)
+    assert list(prototypes) == ["de", "en"]
+    rows = li.predict(docs, prototypes).select("doc_id", "text", "language.*").collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        letters = any(c.isalpha() for c in r["text"] or "")
+        assert r["lang"] in (("de", "en") if letters else ("und",)) and 0 <= r["score"] <= 1
+    assert {r["lang"] for r in li.predict(docs, {}).select("language.lang").collect()} == {"und"}
+    assert li.train(docs.where("false")) == {} and li.predict(docs.where("false"), prototypes).count() == 0
+
+
+def test_kept_vectors_are_bounded(monkeypatch):
+    monkeypatch.setattr(li, "KEPT", 10)
+    vectors = li.GramVectors()
+    for k in range(0, 60, 6):
+        codes = np.arange(k, k + 6, dtype=np.int64) + 97
+        assert (vectors(codes) == np.stack([li.gram_vector(int(c)) for c in codes])).all()
+    assert len(vectors.rows) <= 16
