@@ -93,10 +93,11 @@ class SyncEngine:
         return strip(df, CURSOR)
 
     def _observed(self, job: Job, df: DataFrame) -> tuple[DataFrame, Observation]:
-        """df, and the row count and highest mark of what will have been read of it."""
+        """df, and the row count, highest mark and delete operations of what will have been read of it."""
         seen = Observation(f"sync {job.name}")
         mark = F.max(F.col(f"`{job.watermark_column}`").cast("timestamp_ntz").cast("string")) if job.watermark_column in df.columns else F.max(F.lit(None).cast("string"))
-        return df.observe(seen, F.count(F.lit(1)).alias("rows"), mark.alias("mark")), seen
+        deletes = F.count_if(modes.operation(F.col(modes.OP).cast("string")) == "D") if modes.OP in df.columns and job.write_mode == "merge_into" else F.count_if(F.lit(False))
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"), mark.alias("mark"), deletes.alias("deletes")), seen
 
     def _target(self, job: Job, df: DataFrame) -> SnapshotTable:
         """The target table, made from the batch's schema if it is not there, with new columns if the job allows them."""
@@ -132,7 +133,7 @@ class SyncEngine:
         before = planned_on.snapshot.summary["total-records"] if planned_on.snapshot else 0
         observed, seen = self._observed(job, df)
         replaced, added = self._plan(job, table, planned_on, observed)
-        rows, mark = seen.get["rows"], seen.get["mark"]
+        rows, mark, deletes = seen.get["rows"], seen.get["mark"], seen.get["deletes"]
         if not rows:
             if properties:
                 table.set_properties(properties)
@@ -146,7 +147,7 @@ class SyncEngine:
             deleted = 0
         else:
             after = sum(f.records for f in replaced)
-            deleted = before + sum(f.records for f in added) - after if job.write_mode == "overwrite" and planned_on.partition else max(before + rows - after, 0)
+            deleted = before + sum(f.records for f in added) - after if job.write_mode == "overwrite" and planned_on.partition else before + rows - deletes - after
             table.commit_replace(planned_on, replaced, added, deleted, properties)
         return Summary(job.name, rows, deleted, page_count(rows, job.batch_size), mark)
 
@@ -161,16 +162,19 @@ class SyncEngine:
             added = table.write_files(batch, meta)
             touched = {f.partition for f in added}
             return [f for f in table._listed(meta.snapshot) if f.partition not in touched] + added, added
-        # The other modes read the batch twice: its rows are written first and read again from where they are.
+        # The other modes read the batch twice: its rows are written first and read again from where they are. Only files
+        # that hold a row to be replaced are read and written anew, all others are carried over.
         staged = self._staged(job, table, batch)
-        plan = {
-            "overwrite": lambda t, b: modes.overwrite(t, b, job.partition_column or job.iceberg_partition.column),
-            "upsert": lambda t, b: modes.upsert(t, b, job.merge.key_columns),
-            "merge_into": lambda t, b: modes.merge_into(t, b, job.merge.key_columns),
-        }[job.write_mode]
         shape = T.StructType([*meta.schema.fields, *([staged.schema[modes.OP]] if job.write_mode == "merge_into" else [])])
-        added = table.write_files(plan(current, modes.align(staged, shape)), meta)
-        return added, added
+        staged = modes.align(staged, shape)
+        keys = [job.partition_column or job.iceberg_partition.column] if job.write_mode == "overwrite" else job.merge.key_columns
+        replacing = modes.split_changes(staged)[1] if job.write_mode == "merge_into" else staged
+        touched = table.files_matching(replacing, keys)
+        current = table.read_files(touched) if touched else None
+        plan = {"overwrite": lambda: modes.overwrite(current, staged, keys[0]), "upsert": lambda: modes.upsert(current, staged, keys), "merge_into": lambda: modes.merge_into(current, staged, keys)}
+        added = table.write_files(plan[job.write_mode](), meta)
+        left = {f.path for f in touched}
+        return [f for f in table._listed(meta.snapshot) if f.path not in left] + added, added
 
     def _staged(self, job: Job, table: SnapshotTable, batch: DataFrame) -> DataFrame:
         path = f"{table.location}/staging/{job.name}"

@@ -146,6 +146,18 @@ def test_upsert(spark, tmp_path):
     assert world.run([], ENTITY).rows_written == 0 and world.table.count() == 5
 
 
+def test_files_without_replaced_rows_are_carried_over(spark, tmp_path):
+    world = World(spark, tmp_path, write_mode="upsert", merge="{key_columns: [id]}", mode="full")
+    for k in range(3):
+        world.run([(10 * k + i, "a", "new") for i in range(4)], ENTITY)
+    before = {f.path: f.records for f in world.table.manifest()}
+    summary = world.run([(11, "a", "old"), (99, "a", "new"), (None, "a", "new")], ENTITY)
+    after = {f.path for f in world.table.manifest()}
+    kept = set(before) & after
+    assert summary.rows_deleted == 1 and 0 < len(kept) < len(before) and sum(before[p] for p in kept) >= 8 and world.table.count() == 14
+    assert [r for r in rows(world.table.read()) if r[0] == 11] == [(11, "a", "old")]
+
+
 def test_upsert_keeps_the_last_of_equal_keys_when_asked(spark, tmp_path):
     world = World(spark, tmp_path, write_mode="upsert", merge="{key_columns: [id], order_by: [status]}", mode="full")
     world.run([(1, "a", "1"), (1, "a", "2"), (2, "a", "1")], ENTITY)
@@ -158,7 +170,7 @@ CDC = "id long, name string, _op string"
 def test_merge_into(spark, tmp_path):
     world = World(spark, tmp_path, write_mode="merge_into", merge="{key_columns: [id]}", mode="full")
     world.run([(i, "a", "I") for i in (1, 2, 3)], CDC)
-    world.run([(1, "b", "U"), (2, None, "delete"), (4, "d", "insert")], CDC)
+    assert world.run([(1, "b", "U"), (2, None, "delete"), (4, "d", "insert")], CDC).rows_deleted == 2
     assert rows(world.table.read()) == [(1, "b"), (3, "a"), (4, "d")] and world.table.read().columns == ["id", "name"]
     world.run([(5, "e", None), (6, "f", "?")], CDC)  # nothing but inserts: what is there stays
     assert [r[0] for r in rows(world.table.read())] == [1, 3, 4, 5, 6]
