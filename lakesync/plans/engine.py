@@ -9,6 +9,7 @@ back to the last page, and a repeated run goes on behind the cursor of the last
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import dataclass
 from datetime import UTC, datetime
 from typing import Any
@@ -164,7 +165,8 @@ class SyncEngine:
             return [f for f in table._listed(meta.snapshot) if f.partition not in touched] + added, added
         # The other modes read the batch twice: its rows are written first and read again from where they are. Only files
         # that hold a row to be replaced are read and written anew, all others are carried over.
-        staged = self._staged(job, table, batch)
+        folder = f"{table.location}/staging/{uuid.uuid4().hex}"
+        staged = self._staged(folder, batch)
         shape = T.StructType([*meta.schema.fields, *([staged.schema[modes.OP]] if job.write_mode == "merge_into" else [])])
         staged = modes.align(staged, shape)
         keys = [job.partition_column or job.iceberg_partition.column] if job.write_mode == "overwrite" else job.merge.key_columns
@@ -173,12 +175,12 @@ class SyncEngine:
         current = table.read_files(touched) if touched else None
         plan = {"overwrite": lambda: modes.overwrite(current, staged, keys[0]), "upsert": lambda: modes.upsert(current, staged, keys), "merge_into": lambda: modes.merge_into(current, staged, keys)}
         added = table.write_files(plan[job.write_mode](), meta)
+        table.files.delete_tree(folder)
         left = {f.path for f in touched}
         return [f for f in table._listed(meta.snapshot) if f.path not in left] + added, added
 
-    def _staged(self, job: Job, table: SnapshotTable, batch: DataFrame) -> DataFrame:
-        path = f"{table.location}/staging/{job.name}"
-        batch.write.mode("overwrite").parquet(path)
+    def _staged(self, path: str, batch: DataFrame) -> DataFrame:
+        batch.write.parquet(path)
         return self.spark.read.schema(T.StructType([T.StructField(f.name, f.dataType) for f in batch.schema.fields])).parquet(path)
 
     def _run_by_batch(self, job: Job, df: DataFrame, extra: dict[str, str]) -> Summary:

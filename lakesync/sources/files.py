@@ -94,3 +94,8 @@ class Files:
         if not store.exists(where) or (folder and self.names(path)):
             return False
         return store.delete(where, folder)
+
+    def delete_tree(self, path: str) -> bool:
+        """Delete a folder with all that is in it; only for folders that their caller alone has written."""
+        store, where = self._at(path)
+        return store.delete(where, True)
