@@ -5,12 +5,14 @@ of what white space separates), a text of fewer words the set of that one run. T
 representative with a weight. Representatives get HASHES MinHash values; those that agree on all values of one of
 BANDS bands are candidates (a pair at similarity 0.8 shares none with probability 3e-6). MinHash values of candidates
 are compared a few at a time, and a pair is dropped as soon as the posterior probability that it reaches the threshold,
-from a uniform prior, falls below TOLERANCE. All others are verified on the sets themselves.
+from a uniform prior, falls below TOLERANCE. All others are verified on the sets themselves. The first comparison is
+part of the join that makes the candidates: the last bits of SKETCH values, and the sizes of the sets, whose ratio is a
+bound of their similarity. So documents that share no more than a common passage do not become rows.
 
-Large groups of near copies are neither paired in a table nor gathered in a task: each representative first joins the
-smallest representative that it meets in a bucket and resembles (its leader). Pairs with one leader are compared in
-memory, in blocks of BLOCK representatives, of which only sums and roots come out; candidate pairs between leaders,
-of which there are few, are a table.
+Large groups of near copies are neither paired in a table nor gathered in a task: each representative follows a leader,
+one of the smallest representatives of its buckets that it resembles and that most others follow, or that one's own.
+Pairs with one leader are compared in memory, in blocks of BLOCK representatives, of which only sums and roots come
+out; candidate pairs between leaders, of which there are few, are a table.
 
 Defined results: a text without words is in a class of its own and has no links; null texts count as such; rows
 with a null id count as documents and get the smallest id of their class (null if it has none); repeated rows are
@@ -36,8 +38,9 @@ N, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 STEP, TOLERANCE = 16, 1e-6
+SKETCH = 128
 #: Estimated similarity from which a representative follows a leader, and the largest number compared at once in memory.
-LEAD, BLOCK = 0.6, 256
+LEAD, BLOCK = 0.4, 256
 #: Word hashes that a worker keeps.
 KEPT_WORDS = 500_000
 _WORD = re.compile(r"\w+")
@@ -118,6 +121,19 @@ def least_matches(threshold: float) -> list[tuple[int, int]]:
     return out
 
 
+@cache
+def most_unequal_bits(threshold: float) -> int:
+    """Of SKETCH last bits of MinHash values, how many may differ before the posterior of reaching threshold is below TOLERANCE.
+
+    Last bits agree with chance (1 + similarity) / 2, so a uniform prior of similarity is one of that chance from 1/2 to 1.
+    """
+    above = lambda p, equal: sum(comb(SKETCH + 1, m) * p**m * (1 - p) ** (SKETCH + 1 - m) for m in range(equal + 1))
+    equal = 0
+    while above((1 + threshold) / 2, equal) < TOLERANCE * above(0.5, equal):
+        equal += 1
+    return SKETCH - equal
+
+
 def survivors(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
     """Which pairs (a[i], b[i]) of rows of left and right are still likely after each step: their indices."""
     alive, matches = np.arange(len(a)), np.zeros(len(a), dtype=np.int64)
@@ -135,8 +151,8 @@ def _describe(texts: pd.Series) -> pd.DataFrame:
     for text in texts:
         found = shingles(text)
         key = np.uint64(xxhash.xxh3_64_intdigest(found.tobytes())).astype(np.int64) if len(found) else None
-        rows.append((key, minhash(found).tobytes() if len(found) else None))
-    return pd.DataFrame({"rep": pd.array([r[0] for r in rows], dtype="Int64"), "values": pd.Series([r[1] for r in rows], dtype=object)})
+        rows.append((key, minhash(found).tobytes() if len(found) else None, len(found)))
+    return pd.DataFrame({"rep": pd.array([r[0] for r in rows], dtype="Int64"), "values": pd.Series([r[1] for r in rows], dtype=object), "n": [r[2] for r in rows]})
 
 
 def _sets(texts: pd.Series) -> pd.DataFrame:
@@ -154,6 +170,11 @@ def _buckets(values: pd.Series) -> pd.Series:
     return pd.Series(list(out.astype(np.int64)))
 
 
+def _sketches(values: pd.Series) -> pd.DataFrame:
+    bits = np.packbits(_rows(values)[:, :SKETCH] & np.uint32(1), axis=1).view(np.int64) if len(values) else np.empty((0, 2), dtype=np.int64)
+    return pd.DataFrame({"low": bits[:, 0], "high": bits[:, 1]})
+
+
 def _rows(values: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(values), dtype=np.uint32).reshape(-1, HASHES)
 
@@ -241,12 +262,12 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     scratch = Scratch(spark, "jaccard")
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     place = [F.coalesce("doc_id", F.lit(-1)).alias("at_id"), F.xxhash64("text").alias("at_text")]
-    describe = F.pandas_udf(_describe, "rep long, values binary")
+    describe = F.pandas_udf(_describe, "rep long, values binary, n int")
     described = scratch.table(texts.select("doc_id", *place, describe("text").alias("d")).select("doc_id", "at_id", "at_text", "d.*"), "described")
     reps = described.where("rep is not null").groupBy("rep").agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("weight"), F.min(F.struct("at_id", "at_text")).alias("place"), F.first("values").alias("values")
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("weight"), F.min(F.struct("at_id", "at_text")).alias("place"), F.first("values").alias("values"), F.first("n").alias("n")
     )
-    reps = scratch.table(reps.select("rep", "doc_id", "weight", "place.*", "values"), "reps")
+    reps = scratch.table(reps.select("rep", "doc_id", "weight", "place.*", "values", "n"), "reps")
     members = scratch.table(described.select("doc_id", "rep"), "members")
     scratch.drop("described")
 
@@ -257,24 +278,33 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     met = scratch.table(banded.join(full, "bucket"), "met")
     named = lambda name: values.select(F.col("rep").alias(name), F.col("values").alias(f"{name}_values"))
     follows = met.where("rep <> first").select("rep", "first").distinct().join(named("rep"), "rep").join(named("first"), "first")
-    leaders = follows.where(_likely(LEAD)("rep_values", "first_values") >= LEAD).groupBy("rep").agg(F.min("first").alias("leader"))
-    leaders = scratch.table(leaders, "leaders")
+    follows = scratch.table(follows.where(_likely(LEAD)("rep_values", "first_values") >= LEAD).select("rep", "first"), "follows")
+    followers = follows.groupBy("first").agg(F.count(F.lit(1)).alias("n"))
+    best = follows.join(followers, "first").groupBy("rep").agg(F.max(F.struct("n", F.col("first").alias("leader"))).alias("best"))
+    own = followers.select(F.col("first").alias("rep"), F.struct("n", F.col("first").alias("leader")).alias("own"))
+    leaders = best.join(own, "rep", "left").select("rep", F.greatest("best", "own")["leader"].alias("leader"))
+    theirs = leaders.select(F.col("rep").alias("leader"), F.col("leader").alias("theirs"))
+    leaders = scratch.table(leaders.join(theirs, "leader", "left").select("rep", F.coalesce("theirs", "leader").alias("leader")), "leaders")
 
     led = met.drop("first").join(leaders, "rep", "left").select("bucket", "rep", F.coalesce("leader", "rep").alias("leader"))
     led = scratch.table(led, "led")
     scratch.drop("met")
     mixed = led.groupBy("bucket").agg(F.min("leader").alias("low"), F.max("leader").alias("high")).where("low <> high").select("bucket")
-    apart = led.join(mixed, "bucket", "left_semi")
-    pairs = apart.select("bucket", F.col("rep").alias("a"), F.col("leader").alias("a_leader")).join(
-        apart.select("bucket", F.col("rep").alias("b"), F.col("leader").alias("b_leader")), "bucket"
-    ).where("a < b and a_leader <> b_leader").select("a", "b").distinct()
+    sketches = reps.select("rep", "n", F.pandas_udf(_sketches, "low long, high long")("values").alias("bits")).select("rep", "n", "bits.*")
+    apart = led.join(mixed, "bucket", "left_semi").join(sketches, "rep")
+    side = lambda name: apart.select("bucket", *(F.col(c).alias(f"{name}_{c}") for c in ("rep", "leader", "n", "low", "high")))
+    unequal = sum(F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in ("low", "high"))
+    similar = (F.least("a_n", "b_n") >= F.greatest("a_n", "b_n") * F.lit(THRESHOLD) - 1e-9) & (unequal <= most_unequal_bits(THRESHOLD))
+    near = (F.col("a_rep") < F.col("b_rep")) & (F.col("a_leader") != F.col("b_leader")) & similar
+    a, b = side("a"), side("b")
+    pairs = a.join(b, (a["bucket"] == b["bucket"]) & near).select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).distinct()
     pairs = pairs.join(named("a"), "a").join(named("b"), "b")
     pairs = scratch.table(pairs.where(_likely(THRESHOLD)("a_values", "b_values") > 0).select("a", "b"), "pairs")
 
     groups = led.select("rep", "leader").distinct()
     sizes = groups.groupBy("leader").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     groups = scratch.table(groups.join(sizes, "leader"), "groups")
-    scratch.drop("led", "leaders")
+    scratch.drop("led", "leaders", "follows")
     wanted = groups.select("rep").union(pairs.select("a")).union(pairs.select("b")).distinct()
     wanted = wanted.join(reps.select("rep", "at_id", "at_text"), "rep")
     asked = texts.select("text", *place).join(wanted, ["at_id", "at_text"]).groupBy("at_id", "at_text", "rep").agg(F.first("text").alias("text"))
@@ -302,6 +332,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     joined = joined.select("rep", "weight", F.coalesce("root", "rep").alias("root"), F.coalesce("links", F.lit(0)).alias("links"), F.col("doc_id").alias("id"))
     classes = joined.groupBy("root").agg(F.min("id").alias("class_id"))
     facts = scratch.table(joined.join(classes, "root").select("rep", "class_id", (F.col("weight") - 1 + F.col("links")).alias("n_links")), "facts")
+    scratch.drop("reps", "pairs", "groups", "inside", "across", "edges")
     return members.join(facts, "rep", "left").select(
         "doc_id", F.when(F.col("rep").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
     )
@@ -309,3 +340,23 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+OP1_SQL = r"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w, regexp_extract_all(lower(coalesce(text, '')), '[^\s]+') AS v FROM documents
+), worded AS (
+  SELECT doc_id, CASE WHEN len(w) > 0 THEN w ELSE v END AS w FROM cut
+), shingled AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM worded WHERE len(w) > 0)
+), sized AS (
+  SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingled a JOIN shingled b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sized m ON m.doc_id = a.doc_id JOIN sized n ON n.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, m.n, n.n HAVING count(*) >= 0.8 * (m.n + n.n - count(*)) - 1e-9
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+)
+SELECT r.a AS doc_id, min(r.b) AS class_id, (SELECT count(*) FROM links l WHERE l.a = r.a) AS n_links FROM reach r GROUP BY r.a
+"""
