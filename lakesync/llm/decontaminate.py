@@ -1,12 +1,12 @@
 """Benchmark decontamination by SimHash windows, in DataFrame functions only.
 
-A document's windows have the size, in words, of a benchmark item. They are laid where the document holds one of the
-item's anchors, at the place that the anchor has in the item: of an item's n shingles (runs of N words) the
-n - ceil(0.8 n) + 1 that the fewest items hold, one of which every window of similarity 0.8 must share. The windows'
+A document's windows have the size, in words, of a benchmark item (of a shorter document, all its words). All windows
+that hold one of the item's anchors, at any place, are laid: of an item's n shingles (runs of N words) the anchors are
+the n - ceil(0.8 n) + 1 that the fewest items hold, one of which every window of similarity 0.8 must share. The windows'
 words make a SimHash of BLOCKS blocks of 16 bits. Items are indexed by every value within NEAR bits of each of their
 blocks, so that by the pigeonhole principle every window and item within RADIUS = BLOCKS * (NEAR + 1) - 1 bits meet in
-a block. Pairs within that radius are verified exactly: the weighted Jaccard similarity of the two bags of shingles
-(weight: number of times) must reach THRESHOLD. Equal windows are fingerprinted, looked up and verified once.
+a block. Pairs of one size within that radius are verified exactly: the weighted Jaccard similarity of the two bags of
+shingles (weight: number of times) must reach THRESHOLD. Equal windows are fingerprinted, looked up and verified once.
 
 Words are lower-cased runs of letters and digits. Defined results: null texts are empty; documents and items of under
 N words hold and give no shingles and never match; repeated rows and equal ids are one document in the result; a null
@@ -24,7 +24,7 @@ N, THRESHOLD = 5, 0.8
 BLOCKS, NEAR = 8, 3
 RADIUS = BLOCKS * (NEAR + 1) - 1
 WORD = r"[\p{L}\p{N}]+"
-#: Anchors (24 bytes each) up to this number are sent to all executors; beyond it shingles and anchors are joined by a shuffle.
+#: Anchors (16 bytes each) up to this number are sent to all executors; beyond it shingles and anchors are joined by a shuffle.
 BROADCAST_ANCHORS = 1_000_000
 
 
@@ -70,28 +70,40 @@ def _items(items: DataFrame, item_id: str, text: str) -> DataFrame:
 
 
 def anchors(items: DataFrame) -> DataFrame:
-    """anchor, offset (from 0) and n_words: the shingles that windows like an item can't all lack, without repeats."""
+    """anchor and n_words: the shingles that windows like an item can't all lack, without repeats."""
     each = items.select("item_id", "n_words", F.size("item_shingles").alias("n"), F.posexplode("item_shingles").alias("offset", "anchor"))
     common = each.groupBy("anchor").agg(F.count_distinct("item_id").alias("items"))
     rare = Window.partitionBy("item_id", "n_words").orderBy("items", "anchor", "offset")
     needed = F.col("n") - F.ceil(F.lit(THRESHOLD) * F.col("n") - F.lit(1e-9)) + 1
-    return each.join(common, "anchor").withColumn("rank", F.row_number().over(rare)).where(F.col("rank") <= needed).select("anchor", "offset", "n_words").distinct()
+    return each.join(common, "anchor").withColumn("rank", F.row_number().over(rare)).where(F.col("rank") <= needed).select("anchor", "n_words").distinct()
+
+
+def starts(at: Column, n_words: Column, size: Column) -> Column:
+    """Starts, each once, of the windows of n_words in a text of size words that hold one of the shingles at positions at."""
+    last = F.greatest(F.lit(0), size - n_words)
+
+    def added(sorted_at: Column, p: Column, i: Column) -> Column:
+        following = F.when(i > 0, F.least(F.get(sorted_at, i - 1), last) + 1).otherwise(0)
+        low, high = F.greatest(F.lit(0), p - n_words + N, following), F.least(p, last)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    return F.transform(F.array(F.sort_array(at)), lambda s: F.flatten(F.transform(s, lambda p, i: added(s, p, i))))[0]
 
 
 def windows(docs: DataFrame, marks: DataFrame, broadcast: bool) -> DataFrame:
-    """doc_id, start (word, from 0), words of the windows that anchors ask for; docs has doc_id, text."""
+    """doc_id, n_words, start (word, from 0), words of the windows that hold an anchor; docs has doc_id, text."""
     hashed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), word_hashes(F.col("text")).alias("words")).withColumn("found", shingles(F.col("words")))
-    start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("offset"), F.size("words") - F.col("n_words")))
-    window = F.slice("words", F.col("start") + 1, F.col("n_words"))
     if broadcast:
-        each = hashed.select("doc_id", "words", F.posexplode_outer("found").alias("pos", "anchor"))
-        hits = each.join(F.broadcast(marks), "anchor")
+        each = hashed.select("doc_id", "text_hash", "words", F.posexplode_outer("found").alias("pos", "anchor"))
+        hits = each.join(F.broadcast(marks), "anchor").groupBy("doc_id", "text_hash", "n_words").agg(F.collect_set("pos").alias("at"), F.first("words").alias("words"))
     else:
         each = hashed.select("doc_id", "text_hash", F.posexplode_outer("found").alias("pos", "anchor"))
-        hits = each.join(marks, "anchor").withColumn("id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+        hits = each.join(marks, "anchor").groupBy("doc_id", "text_hash", "n_words").agg(F.collect_set("pos").alias("at"))
+        hits = hits.withColumn("id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
         known = hashed.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "text_hash", "words").dropDuplicates(["id", "text_hash"])
         hits = hits.join(known, ["id", "text_hash"])
-    return hits.withColumn("start", start).select("doc_id", "start", window.alias("words"))
+    laid = hits.select("doc_id", "n_words", "words", F.explode(starts(F.col("at"), F.col("n_words"), F.size("words"))).alias("start"))
+    return laid.select("doc_id", "n_words", "start", F.slice("words", F.col("start") + 1, F.col("n_words")).alias("words"))
 
 
 def contaminated(
@@ -103,18 +115,20 @@ def contaminated(
     items = scratch.table(_items(items, item_id, item_text), "items")
     marks = scratch.table(anchors(items), "anchors")
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    found = windows(docs, marks, marks.count() <= BROADCAST_ANCHORS).withColumn("window", F.xxhash64("words"))
-    found = scratch.table(found.groupBy("doc_id", "window").agg(F.min("start").alias("start"), F.first("words").alias("words")), "windows")
+    found = windows(docs, marks, marks.count() <= BROADCAST_ANCHORS).withColumn("window", F.xxhash64("n_words", "words"))
+    found = found.groupBy("doc_id", "window").agg(F.min("start").alias("start"), F.first("n_words").alias("n_words"), F.first("words").alias("words"))
+    found = scratch.table(found, "windows")
 
-    distinct = found.groupBy("window").agg(F.first("words").alias("words"))
+    distinct = found.groupBy("window").agg(F.first("n_words").alias("n_words"), F.first("words").alias("words"))
     distinct = scratch.table(distinct.withColumn("bits", simhash(F.col("words"))), "fingerprints")
     indexed = scratch.table(items.withColumn("item_bits", simhash(F.col("words"))).select("item_id", "n_words", "item_bits", "item_shingles"), "index")
     masks = F.filter(F.sequence(F.lit(0), F.lit(65_535)), lambda m: F.bit_count(m) <= NEAR)
-    values = indexed.select("item_id", F.posexplode("item_bits").alias("block", "bits")).select("item_id", "block", "bits", masks.alias("masks"))
-    values = values.select("item_id", "block", F.explode(F.transform("masks", lambda m: m.bitwiseXOR(F.col("bits")))).alias("value"))
-    probes = distinct.select("window", F.posexplode("bits").alias("block", "value"))
-    pairs = probes.join(values, ["block", "value"]).select("window", "item_id").distinct()
-    near = pairs.join(distinct, "window").join(indexed, "item_id").withColumn("hamming", distance(F.col("bits"), F.col("item_bits"))).where(F.col("hamming") <= RADIUS)
+    values = indexed.select("item_id", "n_words", F.posexplode("item_bits").alias("block", "bits")).select("item_id", "n_words", "block", "bits", masks.alias("masks"))
+    values = values.select("item_id", "n_words", "block", F.explode(F.transform("masks", lambda m: m.bitwiseXOR(F.col("bits")))).alias("value"))
+    probes = distinct.select("window", "n_words", F.posexplode("bits").alias("block", "value"))
+    pairs = probes.join(values, ["n_words", "block", "value"]).select("window", "item_id", "n_words").distinct()
+    near = pairs.join(distinct.select("window", "bits"), "window").join(indexed, ["item_id", "n_words"])
+    near = near.withColumn("hamming", distance(F.col("bits"), F.col("item_bits"))).where(F.col("hamming") <= RADIUS).join(distinct.select("window", "words"), "window")
     bags = near.select("window", "item_id", "n_words", "hamming", bag(shingles(F.col("words"))).alias("a"), bag(F.col("item_shingles")).alias("b"))
     both = F.size(F.array_intersect("a", "b"))
     checked = bags.withColumn("similarity", both / (F.size("a") + F.size("b") - both)).where(F.col("similarity") >= F.lit(THRESHOLD) - 1e-12)

@@ -60,6 +60,45 @@ def test_equals_brute_force(spark):
     assert len(want) > 30 and found <= want and len(want - found) <= 0.02 * len(want)  # the radius may miss a few at the very threshold
 
 
+def moved():
+    """Items inside longer documents with their halves swapped, and with words inserted and changed about the anchors."""
+    items = [(k, sentence(700 + k, 50 + 5 * k)) for k in range(10)]
+    docs, draw = [], random.Random(5)
+    for k in range(30):
+        item, words = items[k % 10][1].split(), sentence(2000 + k, 150).split()
+        if k < 10:
+            item = item[len(item) // 2 :] + item[: len(item) // 2]
+        elif k < 20:
+            item[6:6] = ["inserted"]
+            item[len(item) - 3] = "changed"
+        else:
+            for _ in range(2):
+                item.insert(draw.randrange(len(item)), "inserted")
+        at = draw.randrange(100)
+        docs.append((k, " ".join(words[:at] + item + words[at:])))
+    return docs, items
+
+
+def test_windows_with_an_anchor_at_another_place(spark, monkeypatch):
+    docs, items = moved()
+    want = truth(docs, items)
+    assert {(k, k) for k in range(10)} <= want and all(sum(k // 10 == kind for k, _ in want) >= 3 for kind in range(3))
+    assert run(spark, docs, items) == want
+    monkeypatch.setattr(dc, "BROADCAST_ANCHORS", -1)
+    assert run(spark, docs, items) == want
+
+
+def test_starts_are_those_of_all_windows_with_a_shingle(spark):
+    from pyspark.sql import functions as F
+
+    draw = random.Random(9)
+    cases = [(draw.sample(range(size - 4), draw.randint(1, min(6, size - 4))), n, size) for n in (5, 7, 20) for size in (5, 12, 40, 90)]
+    rows = spark.createDataFrame(cases, "at array<int>, n int, size int").select("*", dc.starts(F.col("at"), F.col("n"), F.col("size")).alias("found")).collect()
+    for r in rows:
+        want = [s for s in range(max(0, r["size"] - r["n"]) + 1) if any(s <= p and p + 5 <= s + max(r["n"], r["size"] if r["size"] < r["n"] else 0) for p in r["at"])]
+        assert r["found"] == want
+
+
 def test_without_broadcast(spark, monkeypatch):
     docs, items = planted()
     with_broadcast = run(spark, docs, items)
