@@ -10,7 +10,8 @@ shingles (weight: number of times) must reach THRESHOLD. Equal windows are finge
 
 Words are lower-cased runs of letters and digits. Defined results: null texts are empty; documents and items of under
 N words hold and give no shingles and never match; repeated rows and equal ids are one document in the result; a null
-id is a document id like others; empty tables give an empty result; other columns are ignored.
+id is a document id like others, and an item id too; items of one id are searched each by itself and are one item in
+the result, of which the best window counts; empty tables give an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -64,16 +65,22 @@ def bag(found: Column) -> Column:
     return F.when(F.size(F.array_distinct(found)) == F.size(found), F.transform(found, lambda x: F.xxhash64(x, F.lit(0)))).otherwise(numbered)
 
 
-def _items(items: DataFrame, item_id: str, text: str) -> DataFrame:
-    rows = items.select(F.col(item_id).alias("item_id"), word_hashes(F.col(text)).alias("words")).where(F.size("words") >= N)
+def _items(items: DataFrame, text: str) -> DataFrame:
+    """Distinct items, told apart by their words: item, words, item_shingles, n_words."""
+    rows = items.select(word_hashes(F.col(text)).alias("words")).where(F.size("words") >= N).withColumn("item", item_key(F.col("words")))
+    rows = rows.groupBy("item").agg(F.first("words").alias("words"))
     return rows.withColumn("item_shingles", shingles(F.col("words"))).withColumn("n_words", F.size("words"))
 
 
+def item_key(words: Column) -> Column:
+    return F.xxhash64(words)
+
+
 def anchors(items: DataFrame) -> DataFrame:
     """anchor and n_words: the shingles that windows like an item can't all lack, without repeats."""
-    each = items.select("item_id", "n_words", F.size("item_shingles").alias("n"), F.posexplode("item_shingles").alias("offset", "anchor"))
-    common = each.groupBy("anchor").agg(F.count_distinct("item_id").alias("items"))
-    rare = Window.partitionBy("item_id", "n_words").orderBy("items", "anchor", "offset")
+    each = items.select("item", "n_words", F.size("item_shingles").alias("n"), F.posexplode("item_shingles").alias("offset", "anchor"))
+    common = each.groupBy("anchor").agg(F.count_distinct("item").alias("items"))
+    rare = Window.partitionBy("item").orderBy("items", "anchor", "offset")
     needed = F.col("n") - F.ceil(F.lit(THRESHOLD) * F.col("n") - F.lit(1e-9)) + 1
     return each.join(common, "anchor").withColumn("rank", F.row_number().over(rare)).where(F.col("rank") <= needed).select("anchor", "n_words").distinct()
 
@@ -112,7 +119,9 @@ def contaminated(
     """One row per document and benchmark item that it holds: doc_id, item_id, and of its best window start, n_words, hamming, similarity."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontaminate")
-    items = scratch.table(_items(items, item_id, item_text), "items")
+    named = items.select(F.col(item_id).alias("item_id"), word_hashes(F.col(item_text)).alias("words")).where(F.size("words") >= N)
+    named = scratch.table(named.select("item_id", item_key(F.col("words")).alias("item")).distinct(), "named")
+    items = scratch.table(_items(items, item_text), "items")
     marks = scratch.table(anchors(items), "anchors")
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     found = windows(docs, marks, marks.count() <= BROADCAST_ANCHORS).withColumn("window", F.xxhash64("n_words", "words"))
@@ -121,20 +130,20 @@ def contaminated(
 
     distinct = found.groupBy("window").agg(F.first("n_words").alias("n_words"), F.first("words").alias("words"))
     distinct = scratch.table(distinct.withColumn("bits", simhash(F.col("words"))), "fingerprints")
-    indexed = scratch.table(items.withColumn("item_bits", simhash(F.col("words"))).select("item_id", "n_words", "item_bits", "item_shingles"), "index")
+    indexed = scratch.table(items.withColumn("item_bits", simhash(F.col("words"))).select("item", "n_words", "item_bits", "item_shingles"), "index")
     masks = F.filter(F.sequence(F.lit(0), F.lit(65_535)), lambda m: F.bit_count(m) <= NEAR)
-    values = indexed.select("item_id", "n_words", F.posexplode("item_bits").alias("block", "bits")).select("item_id", "n_words", "block", "bits", masks.alias("masks"))
-    values = values.select("item_id", "n_words", "block", F.explode(F.transform("masks", lambda m: m.bitwiseXOR(F.col("bits")))).alias("value"))
+    values = indexed.select("item", "n_words", F.posexplode("item_bits").alias("block", "bits")).select("item", "n_words", "block", "bits", masks.alias("masks"))
+    values = values.select("item", "n_words", "block", F.explode(F.transform("masks", lambda m: m.bitwiseXOR(F.col("bits")))).alias("value"))
     probes = distinct.select("window", "n_words", F.posexplode("bits").alias("block", "value"))
-    pairs = probes.join(values, ["n_words", "block", "value"]).select("window", "item_id", "n_words").distinct()
-    near = pairs.join(distinct.select("window", "bits"), "window").join(indexed, ["item_id", "n_words"])
+    pairs = probes.join(values, ["n_words", "block", "value"]).select("window", "item", "n_words").distinct()
+    near = pairs.join(distinct.select("window", "bits"), "window").join(indexed, ["item", "n_words"])
     near = near.withColumn("hamming", distance(F.col("bits"), F.col("item_bits"))).where(F.col("hamming") <= RADIUS).join(distinct.select("window", "words"), "window")
-    bags = near.select("window", "item_id", "n_words", "hamming", bag(shingles(F.col("words"))).alias("a"), bag(F.col("item_shingles")).alias("b"))
+    bags = near.select("window", "item", "n_words", "hamming", bag(shingles(F.col("words"))).alias("a"), bag(F.col("item_shingles")).alias("b"))
     both = F.size(F.array_intersect("a", "b"))
     checked = bags.withColumn("similarity", both / (F.size("a") + F.size("b") - both)).where(F.col("similarity") >= F.lit(THRESHOLD) - 1e-12)
-    checked = scratch.table(checked.select("window", "item_id", "n_words", "hamming", "similarity"), "checked")
+    checked = scratch.table(checked.select("window", "item", "n_words", "hamming", "similarity"), "checked")
     best = F.max_by(F.struct("start", "n_words", "hamming", "similarity"), F.struct("similarity", -F.col("hamming"), -F.col("start"))).alias("best")
-    return found.select("doc_id", "window", "start").join(checked, "window").groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
+    return found.select("doc_id", "window", "start").join(checked, "window").join(named, "item").groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

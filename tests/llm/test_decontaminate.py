@@ -129,6 +129,19 @@ def test_odd_documents(spark):
     assert dc.contaminated(docs.where("false"), items).count() == 0 and dc.contaminated(docs, items.where("false")).count() == 0
 
 
+def test_null_and_shared_item_ids(spark):
+    null, shared = [(None, sentence(800 + k, 50)) for k in range(10)], [(7, sentence(900 + k, 50)) for k in range(10)]
+    repeated = [(8, sentence(990, 50))] * 12
+    docs = [(k, f"{sentence(3000 + k, 40)} {said} {sentence(4000 + k, 40)}") for k, (_, said) in enumerate(null + shared + repeated[:1])]
+    edited = repeated[0][1].split()
+    edited[3] = "changed"
+    docs += [(50, " ".join(edited)), (51, null[0][1] + " " + shared[0][1])]
+    want = {(k, None) for k in range(10)} | {(10 + k, 7) for k in range(10)} | {(20, 8), (50, 8), (51, None), (51, 7)}
+    assert run(spark, docs, null + shared + repeated) == want
+    d, b = spark.createDataFrame([(1, shared[0][1], None, None, 0)], SHAPE), spark.createDataFrame([*shared, (9, shared[0][1])], "item_id long, text string")
+    assert sorted(tuple(r) for r in dc.contaminated(d, b).collect()) == [(1, 7, 0, 50, 0, 1.0), (1, 9, 0, 50, 0, 1.0)]
+
+
 def test_no_python_in_the_plan(spark):
     docs = odd_documents(spark)
     plan = dc.contaminated(docs, spark.createDataFrame([(1, sentence(1))], "item_id long, text string"))._jdf.queryExecution().executedPlan().toString()
