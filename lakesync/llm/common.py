@@ -6,20 +6,25 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows an Arrow batch carries to a Python worker at most; with whole texts of some KB each this keeps a batch near 1 MB.
-ARROW_ROWS = 256
+#: Rows and bytes that an Arrow batch carries to a Python worker at most (a single longer text makes a batch of its own).
+ARROW_ROWS, ARROW_BYTES = 256, 8 << 20
+#: A key with more than this share of all rows is hot, so there are at most as many hot keys as the share's inverse.
+HOT_KEYS, HOT_LEAST = 10_000, 1024
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: spark.checkpoint.dir of the session.
 
-    Only where it is unset (local tests) an own temporary folder is made and set.
+    Only where it is unset and the master is local (tests), where all share one disk, an own temporary folder is made and
+    set; a cluster without the setting is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = f"file://{tempfile.mkdtemp(prefix='lakesync-')}"
         spark.sparkContext.setCheckpointDir(path)
     where = spark._jvm.org.apache.hadoop.fs.Path(path)  # with its store's name, so that Python workers find the same one
@@ -63,9 +68,29 @@ class Scratch:
             pass
 
 
-def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bound the rows of the Arrow batches that this session's Python operators get."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches that this session's Python operators get; the bounds are the same for all of them."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
+def spread_join(many: DataFrame, one: DataFrame, key: str, by: Column, counts: DataFrame, how: str = "inner") -> DataFrame:
+    """many joined with one (a row for each key), where the rows of a hot key are dealt by `by` over several tasks.
+
+    counts has key and n, how many rows of many hold it (an upper bound will do). Each of the at most HOT_KEYS keys above
+    a HOT_KEYS-th of all rows goes to so many tasks that none gets more than that share; its row of one goes to each.
+    """
+    spark = many.sparkSession
+    least = max(HOT_LEAST, (counts.agg(F.sum("n")).first()[0] or 0) // HOT_KEYS)
+    hot = counts.where(F.col("n") > least).select(key, F.ceil(F.col("n") / F.lit(least)).cast("int").alias("hot_parts"))
+    found = hot.collect()
+    if not found:
+        return many.join(one, key, how)
+    hot = F.broadcast(spark.createDataFrame(found, hot.schema))
+    parts = F.coalesce("hot_parts", F.lit(1))
+    many = many.join(hot, key, "left").withColumn("hot_part", F.pmod(F.xxhash64(by), parts).cast("int")).drop("hot_parts")
+    one = one.join(hot, key, "left").withColumn("hot_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("hot_parts")
+    return many.join(one, [key, "hot_part"], how).drop("hot_part")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -271,7 +271,6 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     members = scratch.table(described.select("doc_id", "rep"), "members")
     scratch.drop("described")
 
-    small_batches(spark, 4096)
     values = reps.select("rep", "values")
     banded = values.select("rep", F.explode(F.pandas_udf(_buckets, "array<long>")("values")).alias("bucket"))
     full = banded.groupBy("bucket").agg(F.min("rep").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")

@@ -1,10 +1,11 @@
 """WARC archives in the dictionary-compressed form: one Zstandard dictionary in a leading skippable frame of each
 file, every record in a frame of its own, so that a record can be read without those before it.
 
-The dictionary is trained on a bounded sample of the payloads (about SAMPLE_RECORDS, never over twice as many, of at
-most SAMPLE_CHARS characters, drawn by hash); where training finds too little, the sample itself is a raw dictionary, and without a sample
-there is none. Files are written to the folder that all machines share, under a name that a repeated task reuses, and
-appear there by one rename.
+The dictionary is trained on a sample of the distinct payloads, drawn by their digests: SAMPLE_RECORDS of them on
+average, of a longer one a piece of SAMPLE_CHARS characters at a place that its digest says. Where training finds too
+little, the end of the sample itself is a raw dictionary, and without a sample there is none. Files are written to the
+folder that all machines share, under a name that no other attempt of a task uses; which of them count says the table
+of archives that the write returns, so that what a lost attempt left behind is never read.
 
 Of records with equal payloads of DEDUP_BYTES or more the one with the smallest id is a response and the others
 revisit it; rows that share that smallest id are all responses. A null payload is empty; a null id or url leaves out
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, read_table, small_batches
+from .common import Scratch, read_table, small_batches, spread_join
 
 DEDUP_BYTES = 100
 SAMPLE_RECORDS, SAMPLE_CHARS, DICTIONARY_BYTES = 1000, 65_536, 64 * 1024
@@ -147,21 +148,19 @@ def _writer(folder: str, dictionary: bytes):
         packed = zstandard.ZstdCompressor(level=19).compress(dictionary)
         packer = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, **({"dict_data": _dictionary(dictionary)} if dictionary else {}))
         store, root = open_store(folder)
-        out, part, records, size = None, "", 0, 0
+        out, name, records, size = None, "", 0, 0
 
         def close() -> None:
             if out is not None:
                 out.close()
-                final = part.rpartition(".")[0]
-                store.move(part, final)
-                files.append((f"{folder}/{os.path.basename(final)}", records, size))
+                files.append((f"{folder}/{name}", records, size))
 
         for rows in batches:
             for page_id, url, html, digest, refers_to in zip(rows["page_id"], rows["url"], rows["html"], rows["digest"], rows["refers_to"], strict=True):
                 if out is None or size > FILE_BYTES:
                     close()
-                    part = f"{root}/pages-{task.partitionId():05d}-{len(files):03d}.warc.zst.{task.taskAttemptId()}"
-                    out, records = store.open_output_stream(part), 0
+                    name = f"pages-{task.partitionId():05d}-{len(files):03d}-{task.taskAttemptId()}.warc.zst"
+                    out, records = store.open_output_stream(f"{root}/{name}"), 0
                     size = out.write(struct.pack("<II", SKIPPABLE_MAGIC, len(packed)) + packed)
                 frame = packer.compress(warc_record(page_id, url, html.encode(), digest, refers_to))
                 out.write(frame)
@@ -172,64 +171,84 @@ def _writer(folder: str, dictionary: bytes):
     return write
 
 
+def _sample(rows: DataFrame, share: float) -> list[bytes]:
+    """Distinct payloads, or pieces of them, whose digest falls into the share; in order of the digests."""
+    place = F.xxhash64(F.lit(5), "digest")
+    drawn = rows.where((F.xxhash64("digest") / F.lit(2.0**64) + 0.5 < share) & (F.length("html") > 0))
+    piece = F.substring("html", 1 + F.pmod(place, F.greatest(F.length("html") - SAMPLE_CHARS + 1, F.lit(1))).cast("int"), F.lit(SAMPLE_CHARS))
+    held = drawn.select("digest", piece.alias("piece")).groupBy("digest").agg(F.first("piece").alias("piece")).collect()
+    return [r["piece"].encode() for r in sorted(held, key=lambda r: r["digest"])]
+
+
 def write_archives(pages: DataFrame, folder: str, *, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """Write a record per row into archives under folder (shared by all machines); returns path, records, bytes of each archive."""
+    """Write a record per row into archives under folder (shared by all machines); returns path, records, bytes of each archive.
+
+    The result is a table that has been written: reading it again writes no archive anew.
+    """
     spark = pages.sparkSession
     small_batches(spark)
+    scratch = Scratch(spark, "warc")
     rows = pages.select(
         F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html")
     ).withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
-    known = Scratch(spark, "warc").table(rows.select("page_id", "digest", F.octet_length("html").alias("bytes")), "digests")
-    share = SAMPLE_RECORDS / max(known.count(), 1)
-    drawn = F.xxhash64("digest", "page_id") / F.lit(2.0**64) + 0.5 < share
-    sample = rows.where(drawn & (F.length("html") > 0) & (F.length("html") <= SAMPLE_CHARS)).select("html").limit(2 * SAMPLE_RECORDS).collect()
-    dictionary = build_dictionary([r["html"].encode() for r in sample])
-    first = known.where(F.col("bytes") >= DEDUP_BYTES).groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = known.join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("page_id", "digest", "refers_to").distinct()
-    again = again.select(F.xxhash64("page_id", "digest").alias("row"), F.col("page_id").alias("again"), F.col("digest").alias("again_digest"), "refers_to")
-    dealt = rows.withColumn("row", F.xxhash64("page_id", "digest")).join(again, "row", "left").withColumn(
-        "refers_to", F.when(F.col("again").eqNullSafe(F.col("page_id")) & (F.col("again_digest") == F.col("digest")), F.col("refers_to"))
-    ).select(F.col("page_id").cast("string"), "url", "html", "digest", F.col("refers_to").cast("string"))  # as text: pandas would make floats of nullable numbers
+    payloads = rows.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"), F.max(F.octet_length("html")).alias("bytes"))
+    payloads = scratch.table(payloads, "payloads")
+    dictionary = build_dictionary(_sample(rows, SAMPLE_RECORDS / max(payloads.count(), 1)))
+    first = payloads.where((F.col("bytes") >= DEDUP_BYTES) & (F.col("n") > 1)).select("digest", "first_id")
+    dealt = spread_join(rows, first, "digest", F.struct("page_id", "url"), payloads, "left")
+    refers_to = F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id"))
+    dealt = dealt.select(F.col("page_id").cast("string"), "url", "html", "digest", refers_to.cast("string").alias("refers_to"))  # as text: pandas would make floats of nullable numbers
     store, root = open_store(folder)
     store.create_dir(root)
-    return dealt.mapInPandas(_writer(folder, dictionary), "path string, records long, bytes long")
-
-
-def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
-    for files in batches:
-        for content in files["content"]:
-            rows = []
-            for raw in read_archive(content):
-                fields, http, payload = parse_record(raw)
-                digest, kind = fields["WARC-Payload-Digest"].removeprefix("sha256:"), fields["WARC-Type"]
-                if kind == "response" and (digest != hashlib.sha256(payload).hexdigest() or len(payload) != int(http["Content-Length"])):
-                    raise ValueError(f"damaged payload in {fields['WARC-Record-ID']}")
-                own = lambda name: int(fields[name]) if name in fields else None  # noqa: B023, E731
-                rows.append((own("Page-ID"), fields.get("WARC-Target-URI"), int(http["Content-Length"]), digest, kind, own("Refers-To-Page-ID"), payload if kind == "response" else None))
-                if len(rows) == 256:
-                    yield pd.DataFrame(rows, columns=columns).astype({"page_id": "Int64", "refers_to": "Int64"})
-                    rows = []
-            yield pd.DataFrame(rows, columns=columns).astype({"page_id": "Int64", "refers_to": "Int64"})
+    return scratch.table(dealt.mapInPandas(_writer(folder, dictionary), "path string, records long, bytes long"), "archives")
 
 
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
-
-
-def read_archives(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The records of the archives at paths, payloads verified against their digests; a revisit has none of its own."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # one archive in a batch
-    if not paths:
-        return spark.createDataFrame([], RECORD)
-    files = spark.read.format("binaryFile").load(paths).select("content")
-    return files.mapInPandas(_read, RECORD)
+#: Rows and payload bytes after which the reader hands on what it has; archives that one task reads on average.
+READ_ROWS, READ_BYTES, READ_FILES = 256, 8 << 20, 4
+
+
+def _rows_of(content: bytes) -> Iterator[tuple]:
+    for raw in read_archive(content):
+        fields, http, payload = parse_record(raw)
+        digest, kind = fields["WARC-Payload-Digest"].removeprefix("sha256:"), fields["WARC-Type"]
+        if kind == "response" and (digest != hashlib.sha256(payload).hexdigest() or len(payload) != int(http["Content-Length"])):
+            raise ValueError(f"damaged payload in {fields['WARC-Record-ID']}")
+        page_id, refers_to = (int(fields[name]) if name in fields else None for name in ("Page-ID", "Refers-To-Page-ID"))
+        yield page_id, fields.get("WARC-Target-URI"), int(http["Content-Length"]), digest, kind, refers_to, payload if kind == "response" else None
+
+
+def _read(batches):
+    import pyarrow as pa
+
+    kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
+    names = [column.split()[0] for column in RECORD.split(", ")]
+    packed = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+    for archives in batches:
+        for path in archives.column(0).to_pylist():
+            store, file = open_store(path)
+            with store.open_input_stream(file) as source:
+                content = source.read()
+            rows, size = [], 0
+            for row in _rows_of(content):
+                rows.append(row)
+                size += len(row[-1] or b"")
+                if len(rows) == READ_ROWS or size > READ_BYTES:
+                    yield packed(rows)
+                    rows, size = [], 0
+            if rows:
+                yield packed(rows)
+
+
+def read_archives(archives: DataFrame) -> DataFrame:
+    """The records of the archives whose paths are in archives' column path, payloads verified against their digests; a revisit has none of its own."""
+    tasks = -(-archives.count() // READ_FILES)
+    return archives.select("path").repartition(max(tasks, archives.sparkSession.sparkContext.defaultParallelism)).mapInArrow(_read, RECORD)
 
 
 def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scratch = Scratch(spark, "archives")
-    written = scratch.table(write_archives(read_table(spark, sf_dir, "pages"), scratch.path("warc")), "manifest")
-    paths = [r["path"] for r in written.select("path").collect()]
-    return read_archives(spark, paths).drop("payload", "url")
+    written = write_archives(read_table(spark, sf_dir, "pages"), Scratch(spark, "archives").path("warc"))
+    return read_archives(written).drop("payload", "url")
 
 
 OP9_SQL = """

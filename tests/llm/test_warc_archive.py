@@ -12,9 +12,14 @@ SHAPE = "page_id long, url string, html string"
 
 
 def table(spark, pages, **more):
-    scratch = Scratch(spark, "test")
-    manifest = wa.write_archives(pages, scratch.path("warc"), **more).collect()
-    return manifest, wa.read_archives(spark, [r["path"] for r in manifest]).collect()
+    manifest = wa.write_archives(pages, Scratch(spark, "test").path("warc"), **more)
+    return manifest.collect(), wa.read_archives(manifest).collect()
+
+
+def content(path):
+    store, file = wa.open_store(path)
+    with store.open_input_stream(file) as source:
+        return source.read()
 
 
 def given():
@@ -47,7 +52,7 @@ def test_round_trip_and_revisits(spark):
 def test_files_start_with_a_dictionary_and_have_a_frame_for_each_record(spark):
     manifest, _ = table(spark, spark.createDataFrame(given(), SHAPE))
     for r in manifest:
-        data = open(r["path"].removeprefix("file://"), "rb").read()
+        data = content(r["path"])
         magic, size = struct.unpack("<II", data[:8])
         assert magic == wa.SKIPPABLE_MAGIC and len(data) == r["bytes"]
         held = zstandard.ZstdDecompressor().decompress(data[8 : 8 + size])
@@ -80,3 +85,30 @@ def test_small_files_and_empty_tables(spark, monkeypatch):
     assert table(spark, rows.where("false")) == ([], [])
     _, found = table(spark, rows.where("length(html) = 0"))
     assert [r["payload_bytes"] for r in found] == [0]
+
+
+def test_large_ids_beside_nulls(spark):
+    ids = [2**60 + 1, 2**60 + 3, None, 2**53 + 1, 5]
+    _, found = table(spark, spark.createDataFrame([(i, "u", "same " * 50) for i in ids[:4]] + [(5, None, "own " * 50)], SHAPE).coalesce(1))
+    got = {(r["page_id"], r["refers_to"], r["record_type"]) for r in found}
+    assert got == {(2**60 + 1, 2**53 + 1, "revisit"), (2**60 + 3, 2**53 + 1, "revisit"), (None, 2**53 + 1, "revisit"), (2**53 + 1, None, "response"), (5, None, "response")}
+
+
+def test_reruns_agree_and_lost_attempts_are_not_read(spark):
+    rows = spark.createDataFrame([(i, "u", f"<p>{'long page ' * 9000 if i % 2 else 'text'} {i}") for i in range(50)], SHAPE)
+    one, two = (wa.write_archives(rows, Scratch(spark, "test").path("warc")) for _ in range(2))
+    first, second = ([(r["records"], r["bytes"]) for r in m.orderBy("path").collect()] for m in (one, two))
+    assert first == second
+    store, file = wa.open_store(one.first()["path"])
+    with store.open_output_stream(f"{file.rpartition('/')[0]}/pages-00000-000-99.warc.zst") as out:
+        out.write(b"half a file")
+    assert wa.read_archives(one).count() == 50
+
+
+def test_a_hot_payload_is_dealt_over_tasks(spark, monkeypatch):
+    from lakesync.llm import common
+
+    monkeypatch.setattr(common, "HOT_LEAST", 10)
+    _, found = table(spark, spark.createDataFrame([(i, "u", "hot " * 50) for i in range(100)] + [(200 + i, "u", f"own {i} " * 50) for i in range(9)], SHAPE))
+    assert sorted((r["page_id"], r["refers_to"]) for r in found if r["record_type"] == "revisit") == [(i, 0) for i in range(1, 100)]
+    assert len(found) == 109
