@@ -12,7 +12,7 @@ from .jaccard_join import OP1_SQL, op1_jaccard_join
 from .language_id import op7_language_id
 from .mix_sources import op8_mix_sources
 from .quality import op10_quality
-from .secret_scan import op2_secret_scan
+from .secret_scan import OP2_SQL, op2_secret_scan
 from .winnowing import op6_winnowing
 from .token_counts import op4_token_counts
 from .warc_archive import OP9_SQL, op9_warc_archive
@@ -32,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_jaccard_join": OP1_SQL,
+    "op2_secret_scan": OP2_SQL,
     "op3_decontaminate": OP3_SQL,
     "op5_chat_snapshots": OP5_SQL,
     "op9_warc_archive": OP9_SQL,

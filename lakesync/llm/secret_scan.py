@@ -3,7 +3,8 @@
 Kinds assign, access and hex follow fixed grammars (see GRAMMAR); matches of one kind are leftmost and do not overlap,
 and one that fails its length test is dropped after it has used up its characters. Further kinds have a checksum or
 structure of their own inside the token: github and npm tokens end in a CRC-32 in base 62, and a jwt's first part decodes
-to JSON with an "alg". A hexadecimal run has no keyword to look for; its expression matches whole runs only.
+to a JSON object with an "alg" (one nested deeper than the parser goes is none). A hexadecimal run has no keyword to
+look for; its expression matches whole runs only. Every character is looked at a bounded number of times, whatever the text.
 
 Defined results: a null text counts as empty and has no spans; positions are code points, end exclusive; every row
 gives one row, repeated ones too; an empty table gives an empty result; other columns are ignored.
@@ -42,6 +43,7 @@ _ACCESS = re.compile(GRAMMAR["access"])
 _HEX = re.compile(rf"[0-9a-f]{{{MIN_HEX},}}")
 _CHECKED = re.compile(r"(gh[pousr]|npm)_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 _JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
+_JWT_RUN = re.compile(r"[A-Za-z0-9_-]+")
 
 
 @cache
@@ -70,9 +72,10 @@ def base62(number: int, width: int) -> str:
 
 def _decodes(header: str) -> bool:
     try:
-        return "alg" in json.loads(base64.urlsafe_b64decode(header + "=" * (-len(header) % 4)))
-    except (ValueError, binascii.Error, TypeError):
+        found = json.loads(base64.urlsafe_b64decode(header + "=" * (-len(header) % 4)))
+    except (ValueError, binascii.Error, RecursionError):
         return False
+    return isinstance(found, dict) and "alg" in found
 
 
 def scan(text: str | None) -> list[tuple[int, int, str]]:
@@ -97,9 +100,10 @@ def scan(text: str | None) -> list[tuple[int, int, str]]:
             ends[kind] = m.end()
             if base62(zlib.crc32(m[2].encode()), 6) == m[3]:
                 spans.append((start, m.end(), "npm" if m[1] == "npm" else "github"))
-        elif kind == "jwt" and (m := _JWT.match(text, start)):
-            ends[kind] = m.end()
-            if _decodes(m[1]):
+        elif kind == "jwt" and text.startswith("eyJ", start):
+            m = _JWT.match(text, start)
+            ends[kind] = m.end() if m else _JWT_RUN.match(text, start).end()  # where one fails, all others in its first part do
+            if m and _decodes(m[1]):
                 spans.append((start, m.end(), kind))
     spans += ((m.start(), m.end(), "hex") for m in _HEX.finditer(text))
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
@@ -147,3 +151,41 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *(F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in GRAMMAR),
         F.sha2(named(of(*GRAMMAR)).cast("binary"), 256).alias("base_sha256"), named(F.col("secrets")).alias("spans"),
     )
+
+
+_ANY_CASE = {"assign": "(" + "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word) for word in ("password", "passwd", "secret", "token", "api_?key")) + ")" + GRAMMAR["assign"].partition(")")[2]}
+_FOUND = {
+    **GRAMMAR, **_ANY_CASE, "hex": _HEX.pattern, "checked": r"(?:gh[pousr]|npm)_[A-Za-z0-9]+", "jwt": _JWT.pattern,
+}
+
+
+def _matches(kind: str) -> str:
+    """SQL for the matches of a kind's pattern: the text between them says where they are."""
+    pattern = _FOUND[kind].replace("'", "''")
+    return f"""
+  SELECT doc_id, '{kind}' AS kind, m, len(m) AS size, list_sum(list_transform(gaps[1:i], lambda g: len(g))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda g: len(g))), 0) AS start
+  FROM (SELECT doc_id, gaps, found, unnest(found) AS m, unnest(range(1, len(found) + 1)) AS i
+    FROM (SELECT doc_id, string_split_regex(text, '{pattern}') AS gaps, regexp_extract_all(text, '{pattern}', 0) AS found FROM d))"""
+
+
+OP2_SQL = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+), found AS ({" UNION ALL ".join(_matches(kind) for kind in _FOUND)}
+), crc AS (
+  SELECT *, CASE WHEN kind = 'checked' THEN xor(4294967295, list_reduce(list_transform(range(30), lambda k: ascii(substr(m, size - 35 + k, 1))::BIGINT),
+    lambda c, b: list_reduce(range(8), lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b)), 4294967295::BIGINT)) END AS crc
+  FROM found WHERE kind <> 'checked' OR size = position('_' in m) + 36
+), kept AS (
+  SELECT doc_id, start, start + size AS finish, CASE WHEN kind = 'checked' THEN (CASE WHEN starts_with(m, 'npm') THEN 'npm' ELSE 'github' END) ELSE kind END AS kind
+  FROM crc WHERE CASE kind
+    WHEN 'assign' THEN len(regexp_extract(m, '{_FOUND["assign"].replace("'", "''")}', 2)) >= {MIN_ASSIGNED} WHEN 'access' THEN size >= {MIN_ACCESS} WHEN 'hex' THEN size >= {MIN_HEX}
+    WHEN 'checked' THEN right(m, 6) = array_to_string(list_transform([5, 4, 3, 2, 1, 0], lambda k: substr('{BASE62}', ((crc // (62 ** k)::BIGINT) % 62)::INT + 1, 1)), '')
+    ELSE coalesce(TRY(json_exists(decode(from_base64(rpad(translate(split_part(m, '.', 1), '-_', '+/'), ((len(split_part(m, '.', 1)) + 3) // 4 * 4)::INT, '='))), '$.alg')), false) END
+), listed AS (
+  SELECT doc_id, kind, start, kind || ':' || start || ':' || finish AS span, list_position({list(KINDS)}, kind) AS rank FROM kept
+)
+SELECT d.doc_id, count(start) FILTER (kind = 'assign') AS n_assign, count(start) FILTER (kind = 'access') AS n_access, count(start) FILTER (kind = 'hex') AS n_hex,
+  sha256(coalesce(string_agg(span, ',' ORDER BY start, rank) FILTER (rank <= {len(GRAMMAR)}), '')) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY start, rank), '') AS spans
+FROM d LEFT JOIN listed ON listed.doc_id = d.doc_id GROUP BY d.doc_id
+"""
