@@ -6,7 +6,8 @@ edit re-encodes from the last pre-token that can't see it (CONTEXT characters ba
 it, where the cuts of old and new text meet again; only the blocks in between and the sums above them change.
 
 Defined results: a null text is empty and has no tokens; edits apply in order, positions are code points of the text
-as the earlier edits left it and are clipped to it, a null replacement deletes; repeated rows are repeated results; an
+as the earlier edits left it and are clipped to it, a null start is the text's start, a null end the edit's start (so
+that nothing goes), a null replacement deletes, a null edit is none; repeated rows are repeated results; an
 empty table gives an empty result; other columns are ignored. Tokens are those of ordinary text: strings that look
 like special tokens count as text.
 """
@@ -197,13 +198,14 @@ def count_tokens(docs: DataFrame, *, text: str = "text", ranks: str = RANKS, edi
                 tree = TokenTree(by, one) if held is None else TokenTree.restore(by, one, held)
                 tokens, pieces, tree.encoded = tree.tokens, tree.pieces, 0
                 for change in todo if todo is not None else ():
-                    if change is not None:
-                        tree.edit(change["start"] or 0, change["end"] or 0, change["text"] or "")
+                    tree.edit(int(change["at"]), int(change["until"]), change["new"])
                 rows.append((tokens, pieces, tree.tokens, tree.pieces, tree.encoded, tree.text, tree.state()))
             yield pd.DataFrame(rows, columns=["n_tokens", "n_pieces", "edited_tokens", "edited_pieces", "encoded", "edited_text", "tree"])
 
     shape = "n_tokens long, n_pieces long, edited_tokens long, edited_pieces long, encoded long, edited_text string, tree binary"
-    changes = F.col(edits) if edits else F.lit(None).cast(EDITS)
+    start = lambda e: F.coalesce(e["start"], F.lit(0))
+    known = lambda e: F.struct(start(e).alias("at"), F.coalesce(e["end"], start(e)).alias("until"), F.coalesce(e["text"], F.lit("")).alias("new"))
+    changes = F.transform(F.filter(F.col(edits).cast(EDITS) if edits else F.lit(None).cast(EDITS), lambda e: e.isNotNull()), known)
     held = F.col(state) if state else F.lit(None).cast("binary")
     return docs.withColumn("counted", F.pandas_udf(count, shape)(F.col(text).cast("string"), changes, held))
 

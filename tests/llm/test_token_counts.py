@@ -50,6 +50,13 @@ def test_columns_and_state(spark, by):
     assert {i: r["n_tokens"] for i, r in again.items()} == {i: r["n_tokens"] for i, r in first.items()}
 
 
+def test_null_positions(spark):
+    edits = [(None, None, "a"), (2, None, "b"), (None, 2, None), None, (1, 2, None)]
+    docs = spark.createDataFrame([("xyz", edits), ("xyz", None), (None, edits)], f"text string, edits {tc.EDITS}")
+    found = tc.count_tokens(docs, edits="edits").select("counted.edited_text").collect()
+    assert [r[0] for r in found] == ["bz", "xyz", ""]  # axyz, axbyz, byz, bz; a, ab, empty
+
+
 def test_query_equals_plain_encoding(spark, by):
     docs = odd_documents(spark)
     rows = tc.count_tokens(docs.withColumn("edits", tc.sample_edits()), edits="edits").select("text", "counted").collect()
