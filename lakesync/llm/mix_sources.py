@@ -1,16 +1,20 @@
 """Mixing sources to target weights by subset-sum budget fitting.
 
 Documents are counted by exact length for each source. A source's word budget is met by whole passes over it plus a
-subset of its documents for the rest: a share of every length first, then a bounded-knapsack dynamic programme over
-the lengths that are left for the last words. Which documents of a length are taken is drawn by a seeded hash.
+subset of its documents for the rest, found by bounded-knapsack dynamic programming over the counts of its lengths: the
+sum is the largest that any subset reaches within the budget (see fit). Which documents of a length are taken is drawn
+by a seeded hash of id and text.
 
 Defined results: a null or empty text has size 0 and is never taken; a null source is a source of its own, last in
-order; null or repeated ids and repeated rows are separate documents of the mix; an empty table gives an empty result;
-other columns are ignored.
+order; null or repeated ids are separate documents of the mix, repeated rows too (which of them is taken can't be told
+apart); an empty table gives an empty result; other columns are ignored unless asked for.
 """
 
 from __future__ import annotations
 
+from math import gcd
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,121 +22,186 @@ from pyspark.sql import functions as F
 from .common import Scratch, read_table
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Words that the dynamic programme fits at most; what lies above is dealt out by lengths before.
-KNAPSACK_WORDS = 16_384
-#: Parts into which the documents of one source and length are dealt by hash, so that no task ranks a hot length alone.
-PARTS = 256
+#: Lengths that the first programme may take more or fewer documents of, beside those that make all sums possible.
+FIRST_LENGTHS = 16
+#: Sums times items that one programme may go through, some ten seconds and 5 bytes a sum.
+MOST_WORK = 1 << 33
+#: Rows that one task ranks, about: documents of one source and length are dealt by the leading bits of their draw.
+PART_ROWS = 1 << 20
 #: Largest number of sources whose budgets are sent to all executors; beyond it they are joined by a shuffle.
 BROADCAST_SOURCES = 10_000
 
 
-def targets(sizes: list[int], weights: list[float], share: float, most: float) -> list[float]:
-    """Split share * sum(sizes) by weight, none above most * its size, the excess dealt out again by weight."""
-    out, left, budget = [0.0] * len(sizes), set(range(len(sizes))), share * sum(sizes)
-    while left:
-        whole = sum(weights[i] for i in left)
-        full = [i for i in sorted(left) if budget * weights[i] / whole > most * sizes[i]]
-        if not full:
-            for i in left:
-                out[i] = budget * weights[i] / whole
-            break
-        for i in full:
-            out[i] = most * sizes[i]
-            budget -= out[i]
-            left.remove(i)
-        budget = max(budget, 0.0)
-    return out
-
-
 def knapsack(lengths: list[int], counts: list[int], budget: int) -> dict[int, int]:
     """How many of each length to take so that their sum comes as near to budget as can be, from below.
 
-    Reachable sums are the bits of an integer; counts are split into powers of two, and the sums are traced back.
+    Counts are split into powers of two. Of each sum only the item that first reached it is kept, from which the choice
+    is traced back; the programme ends when the budget itself is reached.
     """
-    states, items, reach, mask = [1], [], 1, (1 << (budget + 1)) - 1
+    by, reached, items = np.full(budget + 1, -1, dtype=np.int32), np.zeros(budget + 1, dtype=bool), []
+    reached[0] = True
     for length, count in zip(lengths, counts, strict=True):
         count, k = min(count, budget // length), 1
-        while count > 0 and not reach >> budget & 1:
-            k_now = min(k, count)
-            reach |= reach << (k_now * length) & mask
-            items.append((length, k_now))
-            states.append(reach)
-            count, k = count - k_now, 2 * k
-    at, taken = reach.bit_length() - 1, {}
-    for (length, k), before in zip(reversed(items), reversed(states[:-1]), strict=True):
-        if not before >> at & 1:
-            at -= length * k
-            taken[length] = taken.get(length, 0) + k
+        while count > 0 and not reached[budget]:
+            now = min(k, count)
+            new = np.flatnonzero(reached[: budget + 1 - now * length] & ~reached[now * length :]) + now * length
+            by[new], reached[new] = len(items), True
+            items.append((length, now))
+            count, k = count - now, 2 * k
+    at, taken = int(np.flatnonzero(reached)[-1]), {}
+    while at:
+        length, k = items[by[at]]
+        at -= length * k
+        taken[length] = taken.get(length, 0) + k
     return taken
 
 
+def _order(lengths: list[int]) -> list[int]:
+    """Places of the lengths: first those that bring the common divisor down to that of all, then from short to long."""
+    divisor, first = 0, []
+    for i, n in enumerate(lengths):
+        if gcd(divisor, n) != divisor:
+            divisor = gcd(divisor, n)
+            first.append(i)
+    return first + [i for i in range(len(lengths)) if i not in set(first)]
+
+
+def bound(lengths: list[int], counts: list[int], budget: int) -> int:
+    """A sum within budget that no subset exceeds, from what remains of subsets' sums when they are divided.
+
+    Lengths of many documents may have a common divisor; then the remainder comes from the other lengths alone, of which
+    there are few documents, so only some remainders occur. At 0 documents that is the divisor of all lengths.
+    """
+    seen, few = set(), 0
+    while few < max(counts):
+        m = gcd(*(n for n, c in zip(lengths, counts, strict=True) if c > few))
+        if m > 1 and m not in seen:
+            seen.add(m)
+            found = np.zeros(m, dtype=bool)
+            found[0] = True
+            for n, c in zip(lengths, counts, strict=True):
+                k = 1
+                while 0 < c <= few and n % m and not found.all():
+                    found |= np.roll(found, min(k, c) * n % m)
+                    c, k = c - min(k, c), 2 * k
+            budget -= int(((budget - np.flatnonzero(found)) % m).min())
+        few = 2 * few or 1
+    return budget
+
+
 def fit(lengths: list[int], counts: list[int], budget: int) -> list[int]:
-    """How many documents of each length (ascending, positive) make up budget, which is at most their whole size."""
+    """How many documents of each length (ascending, positive) come as near to budget as any choice can, from below.
+
+    A share of every length, filled up from the longest, is a first choice. The dynamic programme then chooses anew among
+    up to `slack` documents more or fewer of some lengths. A sum that meets `bound` can't be bettered; until then slack
+    grows, then the lengths, at the end to all documents, when the programme has seen every choice. Only where that would
+    take more than MOST_WORK steps (lengths with few sums, bound not reached) the best choice so far stands.
+    """
     size = sum(n * c for n, c in zip(lengths, counts, strict=True))
-    take = [c * budget // size for c in counts] if size else [0] * len(counts)
+    if budget >= size:
+        return list(counts)
+    budget = bound(lengths, counts, budget)
+    take = [c * budget // size for c in counts]
     left = budget - sum(n * t for n, t in zip(lengths, take, strict=True))
     for i in range(len(lengths) - 1, -1, -1):
-        if left > KNAPSACK_WORDS:
-            more = min(counts[i] - take[i], left // lengths[i], -(-(left - KNAPSACK_WORDS) // lengths[i]))
-            take[i] += more
-            left -= more * lengths[i]
-    free = [i for i in range(len(lengths)) if lengths[i] <= left and counts[i] > take[i]]
-    if left > 0:
-        more = knapsack([lengths[i] for i in free], [counts[i] - take[i] for i in free], left)
-        for i in free:
-            take[i] += more.get(lengths[i], 0)
+        more = min(counts[i] - take[i], left // lengths[i])
+        take[i], left = take[i] + more, left - more * lengths[i]
+    order, some, slack = _order(lengths), FIRST_LENGTHS, 1
+    while left:
+        free = sorted(order[:some])
+        low = {i: max(take[i] - slack, 0) for i in free}
+        high = {i: min(take[i] + slack, counts[i]) for i in free}
+        rest = left + sum((take[i] - low[i]) * lengths[i] for i in free)
+        work = rest * sum(min(high[i] - low[i], rest // lengths[i]).bit_length() for i in free)
+        if work <= MOST_WORK:
+            found = knapsack([lengths[i] for i in free], [high[i] - low[i] for i in free], rest)
+            left = rest - sum(n * k for n, k in found.items())
+            for i in free:
+                take[i] = low[i] + found.get(lengths[i], 0)
+        if work <= MOST_WORK and any(low[i] or high[i] < counts[i] for i in free):
+            slack *= 4
+        elif some < len(lengths):
+            some, slack = 4 * some, 1
+        else:
+            break
     return take
 
 
 def _plan(rows: pd.DataFrame) -> pd.DataFrame:
     """For one source: base passes over it and the further documents to take of each length."""
-    rows = rows[rows["size"] > 0].sort_values("size")
-    whole, target = int((rows["size"] * rows["n"]).sum()), float(rows["target"].iloc[0]) if len(rows) else 0.0
+    rows = rows.sort_values("size")
+    some = rows[rows["size"] > 0]
+    whole, target = int((some["size"] * some["n"]).sum()), float(rows["target"].iloc[0])
     base = int(target // whole) if whole else 0
-    budget = min(round(target) - base * whole, whole) if whole else 0
-    extra = fit(rows["size"].tolist(), rows["n"].tolist(), max(budget, 0))
-    return pd.DataFrame({"key": rows["key"], "size": rows["size"], "base": base, "extra": extra})
+    extra = fit(some["size"].tolist(), some["n"].tolist(), min(max(round(target) - base * whole, 0), whole))
+    return pd.DataFrame({"key": rows["key"], "size": rows["size"], "source_size": rows["source_size"], "target": rows["target"], "base": base, "extra": [0] * (len(rows) - len(some)) + extra})
+
+
+def targets(sources: DataFrame, weights: tuple[float, ...], share: float, most: float, scratch: Scratch) -> DataFrame:
+    """sources (key, source, source_size) with target: share of all sizes by weight, none above most times its size.
+
+    Sources are numbered by a sort in ranges. Those at their bound are found in rounds: each deals what these leave out
+    again by weight, until no further source is above its bound. The driver sees one row for each weight a round.
+    """
+    placed = sources.repartitionByRange(F.col("source").asc_nulls_last()).sortWithinPartitions(F.col("source").asc_nulls_last())
+    placed = scratch.table(placed.withColumn("at", F.monotonically_increasing_id()), "placed")
+    ranges = placed.groupBy(F.shiftright("at", 33).alias("range")).agg(F.count(F.lit(1)).alias("n"))  # as many as partitions
+    before = F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = placed.withColumn("range", F.shiftright("at", 33)).join(F.broadcast(ranges.select("range", before.alias("before"))), "range")
+    kind = F.pmod(F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1)), F.lit(len(weights))).cast("int")
+    placed = scratch.table(placed.select("key", "source_size", kind.alias("kind")), "weighed")
+    of = lambda c, values: F.element_at(F.array(*[F.lit(float(v)) for v in values]), c + 1)
+    counted = {r["kind"]: r for r in placed.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("source_size").alias("size")).collect()}
+    budget = share * sum(r["size"] for r in counted.values())
+    level, full = 0.0, {}
+    while True:
+        left = sum(w * (counted[k]["n"] - (full[k]["n"] if k in full else 0)) for k, w in enumerate(weights) if k in counted)
+        if left <= 0:
+            above = F.lit(True)
+            break
+        level = max((budget - most * sum(r["size"] for r in full.values())) / left, 0.0)
+        above = F.lit(level) * of(F.col("kind"), weights) > F.lit(most) * F.col("source_size")
+        last = sum(r["n"] for r in full.values())
+        full = {r["kind"]: r for r in placed.where(above).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("source_size").alias("size")).collect()}
+        if sum(r["n"] for r in full.values()) == last:
+            break
+    return placed.select("key", "source_size", F.when(above, F.lit(most) * F.col("source_size")).otherwise(F.lit(level) * of(F.col("kind"), weights)).alias("target"))
 
 
 def mix(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", keep: tuple[str, ...] = (),
     weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 17,
 ) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken (words, repeats counted).
+    """One row per document: doc_id, source, size, source_size, target, taken (words, repeats counted), and the columns keep of docs.
 
     weights repeat over the sources by code point, null last; together they get share times all words, none more than
     most times its own.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mix")
-    rows = docs.select(
+    whole = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"),
         F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("n")).alias("key"),
         F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64(F.lit(seed), F.col(doc_id)).alias("draw"),
-    ).withColumn("part", F.pmod("draw", F.lit(PARTS)).cast("int"))
-    rows = scratch.table(rows, "sizes")
-    by_source = sorted(rows.groupBy("key", "source").agg(F.sum("size").alias("n")).collect(), key=lambda r: (r["source"] is None, r["source"] or ""))
-    sizes = [int(r["n"]) for r in by_source]
-    goal = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], share, most)
-    budgets = spark.createDataFrame([(r["key"], n, t) for r, n, t in zip(by_source, sizes, goal, strict=True)], "key string, source_size long, target double")
-    if len(sizes) <= BROADCAST_SOURCES:
+        F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)).alias("draw"), *(F.col(c).alias(f"kept_{c}") for c in keep),
+    )
+    rows = scratch.table(whole.drop(*(f"kept_{c}" for c in keep)), "sizes")
+    bits = max((rows.count() // PART_ROWS).bit_length(), 8)
+    part = F.shiftrightunsigned("draw", 64 - bits).cast("int")
+    sources = scratch.table(rows.groupBy("key", "source").agg(F.sum("size").alias("source_size")), "sources")
+    budgets = scratch.table(targets(sources, weights, share, most, scratch), "budgets")
+    if budgets.count() <= BROADCAST_SOURCES:
         budgets = F.broadcast(budgets)
-    parts = rows.groupBy("key", "size", "part").agg(F.count(F.lit(1)).alias("n"))
+    parts = scratch.table(rows.groupBy("key", "size", part.alias("part")).agg(F.count(F.lit(1)).alias("n")), "parts")
     lengths = parts.groupBy("key", "size").agg(F.sum("n").alias("n")).join(budgets, "key")
-    plan = lengths.groupBy("key").applyInPandas(_plan, "key string, size long, base long, extra long")
-    before = F.sum("n").over(Window.partitionBy("key", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    need = scratch.table(
-        parts.join(plan, ["key", "size"]).select("key", "size", "part", "base", (F.col("extra") - F.coalesce(before, F.lit(0))).alias("need")), "need"
-    )
-    rank = F.row_number().over(Window.partitionBy("key", "size", "part").orderBy("draw", "doc_id"))
-    return (
-        rows.withColumn("rank", rank).join(need, ["key", "size", "part"], "left").join(budgets, "key")
-        .select(
-            "doc_id", "source", "size", "source_size", "target",
-            (F.col("size") * (F.coalesce("base", F.lit(0)) + (F.col("rank") <= F.coalesce("need", F.lit(0))).cast("long"))).alias("taken"),
-        )
-    )
+    plan = lengths.groupBy("key").applyInPandas(_plan, "key string, size long, source_size long, target double, base long, extra long")
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("key", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = parts.withColumn("before", before).join(plan, ["key", "size"])
+    need = scratch.table(parts.select("key", "size", "part", "source_size", "target", "base", (F.col("extra") - F.col("before")).alias("need")), "need")
+    rank = F.row_number().over(Window.partitionBy("key", "size", "part").orderBy("draw"))
+    ranked = (whole if keep else rows).withColumn("part", part).withColumn("rank", rank).drop("draw")
+    taken = F.col("size") * (F.col("base") + (F.col("rank") <= F.col("need")).cast("long"))
+    return ranked.join(need, ["key", "size", "part"]).select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), *(F.col(f"kept_{c}").alias(c) for c in keep))
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
