@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from .common import read_table, small_batches
 
 DIMENSIONS, N, SEED = 1024, 3, 20_240_101
-#: Documents whose vectors are made in one matrix product, and n-gram vectors kept by a worker (1 KB each).
-TOGETHER, KEPT = 64, 100_000
+#: Documents whose vectors are made together, distinct n-grams of them in one matrix product, and n-gram vectors kept by a worker (1 KB each).
+TOGETHER, GRAMS, KEPT = 64, 4096, 100_000
 UNKNOWN = "und"
 _SPACE = 32
 
@@ -88,13 +88,25 @@ def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(out, return_counts=True)
 
 
+def _together(counted: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct n-grams of some texts and, sorted by n-gram, each occurrence's place among them, text and number."""
+    every = np.concatenate([g for g, _ in counted])
+    text, times = np.repeat(np.arange(len(counted)), [len(g) for g, _ in counted]), np.concatenate([n for _, n in counted])
+    found, at = np.unique(every, return_inverse=True)
+    order = np.argsort(at, kind="stable")
+    return found, at[order], text[order], times[order]
+
+
 def bundle(counted: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """The vectors of some texts, from their n-grams: one row each."""
-    found, at = np.unique(np.concatenate([g for g, _ in counted]), return_inverse=True)
-    counts = np.zeros((len(counted), len(found)), dtype=np.float32)
-    row = np.repeat(np.arange(len(counted)), [len(g) for g, _ in counted])
-    counts[row, at] = np.concatenate([n for _, n in counted])
-    return counts @ _vectors()(found).astype(np.float32) if len(found) else np.zeros((len(counted), DIMENSIONS), dtype=np.float32)
+    """The vectors of some texts, from their n-grams: one row each. At most GRAMS n-grams' vectors are in memory at once."""
+    found, at, text, times = _together(counted)
+    out = np.zeros((len(counted), DIMENSIONS), dtype=np.float64)
+    for start in range(0, len(found), GRAMS):
+        a, b = np.searchsorted(at, [start, start + GRAMS])
+        counts = np.zeros((len(counted), min(GRAMS, len(found) - start)), dtype=np.float32)
+        counts[text[a:b], at[a:b] - start] = times[a:b]
+        out += counts @ _vectors()(found[start : start + GRAMS]).astype(np.float32)
+    return out
 
 
 def _add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -102,12 +114,12 @@ def _add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     sums: dict[str, np.ndarray] = {}
     for rows in batches:
         for lang, texts in rows.groupby("lang")["text"]:
-            counted = [grams(t) for t in texts]
-            found, at = np.unique(np.concatenate([g for g, _ in counted]), return_inverse=True)
-            n = np.bincount(at, np.concatenate([n for _, n in counted]), len(found)).astype(np.int64)
             total = sums.setdefault(lang, np.zeros(DIMENSIONS, dtype=np.int64))
-            for k in range(0, len(found), 4096):
-                total += n[k : k + 4096] @ _vectors()(found[k : k + 4096]).astype(np.int64)
+            for k in range(0, len(texts), TOGETHER):
+                found, at, _, times = _together([grams(t) for t in texts.iloc[k : k + TOGETHER]])
+                n = np.bincount(at, times, len(found)).astype(np.int64)
+                for start in range(0, len(found), GRAMS):
+                    total += n[start : start + GRAMS] @ _vectors()(found[start : start + GRAMS]).astype(np.int64)
     if sums:
         yield pd.DataFrame({"lang": list(sums), "vector": [v.tolist() for v in sums.values()]})
 

@@ -7,7 +7,7 @@ probability). Each host's rate is shrunk to the global one and each path's to it
 moments from how much the rates differ beyond chance. A document's quality is its evidence on top of the log odds of
 its path without itself.
 
-The classifier is fitted on at most SAMPLE labelled documents, drawn by hash of their id; all else covers all rows.
+The classifier is fitted on at most SAMPLE labelled documents, those with the smallest hashes of their id; all else covers all rows.
 Defined results: a null text is empty; null hosts and paths are a host and a path of their own; several labels of one
 id count by their mean, null labels not at all; without labels of both kinds evidence is 0 and quality the prior 0.5;
 repeated rows are documents of their own; an empty table gives an empty result; other columns are ignored.
@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, read_table, small_batches
+from .common import Scratch, read_table, small_batches, spread_join
 
 SAMPLE = 20_000
 FEATURES = ("log_chars", "lower", "upper", "digit", "space", "symbol", "word_length", "distinct_words", "top_word", "same_word_again", "distinct_lines", "words_with_symbol_end")
@@ -98,8 +98,8 @@ def classify(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text
     rows = docs.select(F.col(doc_id).alias("doc_id"), host.cast("string").alias("host"), path.cast("string").alias("path"), name(host).alias("h"), name(path).alias("p"), F.pandas_udf(_features, "array<double>")(F.col(text).cast("string")).alias("x"))
     said = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("double").alias("y")).dropna().groupBy("doc_id").agg(F.avg("y").alias("y"))
     rows = scratch.table(rows.join(said, "doc_id", "left"), "features")
-    share = SAMPLE / max(said.count(), 1)
-    sample = rows.where(F.col("y").isNotNull() & (F.xxhash64("doc_id") / F.lit(2.0**64) + 0.5 < share)).select("x", "y").limit(SAMPLE).collect()
+    drawn = rows.where("y is not null").select(F.xxhash64("doc_id").alias("draw"), F.col("doc_id").cast("string").alias("id"), "x", "y")
+    sample = drawn.orderBy("draw", "id", "x").limit(SAMPLE).collect()
     x, y = np.array([r["x"] for r in sample]), np.array([r["y"] for r in sample])
     if len(y) and 0 < y.mean() < 1:
         base = float(np.log(y.mean() / (1 - y.mean())))
@@ -125,7 +125,10 @@ def classify(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text
 
     others_host = (F.col("host_k") - F.col("good") + a * rate) / (F.col("host_n") - 1 + a)
     others = (F.col("k") - F.col("good") + b * others_host) / (F.col("n") - 1 + b)
-    scored = rows.join(sites, ["h", "p"]).withColumn("quality", sigmoid(F.col("evidence") + logit(others)))
+    site = F.struct("h", "p").alias("site")
+    held = sites.select(site, "k", "n", "host_k", "host_n", "host_rate", "path_rate")
+    joined = spread_join(rows.withColumn("site", site).drop("h", "p"), held, "site", F.col("doc_id"), sites.select(site, F.col("n").cast("long").alias("n")))
+    scored = joined.withColumn("quality", sigmoid(F.col("evidence") + logit(others)))
     return scored.select("doc_id", "host", "path", "evidence", "host_rate", "path_rate", "quality", (F.col("quality") >= 0.5).alias("keep"))
 
 

@@ -60,3 +60,46 @@ def test_kept_vectors_are_bounded(monkeypatch):
         codes = np.arange(k, k + 6, dtype=np.int64) + 97
         assert (vectors(codes) == np.stack([li.gram_vector(int(c)) for c in codes])).all()
     assert len(vectors.rows) <= 16
+
+
+def plain_vector(text):
+    """The sum of the vectors of all runs of N letters or spaces, one after the other."""
+    import re
+
+    text = re.sub(r"[\W\d_]+", " ", (text or "").lower())
+    if not any(c.isalpha() for c in text):
+        return None
+    padded, out = " " * (li.N - 2) + text + " " * (li.N - 1), np.zeros(li.DIMENSIONS)
+    for k in range(len(padded) - li.N + 1):
+        vector = np.ones(li.DIMENSIONS)
+        for j in range(li.N):
+            vector *= np.roll(li.letter_vector(ord(padded[k + j])), li.N - 1 - j)
+        out += vector
+    return out
+
+
+def test_prototypes_and_predictions_equal_plain_ones(spark, monkeypatch):
+    monkeypatch.setattr(li, "GRAMS", 7)  # many small products on the driver's side; workers have their own value
+    texts = [("ein Haus, 2 Häuser und mehr", "de"), ("a house and two houses", "en"), ("une maison", "fr"), ("the old stone bridge", "en"), (None, "en"), ("12", "de"), ("Über alte Brücken", None), ("x", None)]
+    docs = spark.createDataFrame(texts, "text string, lang string")
+    prototypes, want = li.train(docs), {}
+    for text, lang in texts:
+        vector = plain_vector(text)
+        if lang is not None and vector is not None:
+            want[lang] = want.get(lang, 0) + vector
+    assert list(prototypes) == sorted(want) and all((prototypes[k] == want[k]).all() for k in want)
+    assert all(np.allclose(li.bundle([li.grams(t), li.grams("other")])[0], plain_vector(t)) for t, _ in texts if plain_vector(t) is not None)
+    for r in li.predict(docs, prototypes).collect():
+        vector = plain_vector(r["text"])
+        cosines = {} if vector is None else {k: float(v @ vector / np.linalg.norm(v) / np.linalg.norm(vector)) for k, v in want.items()}
+        best = max(cosines, key=cosines.get, default=li.UNKNOWN)
+        assert r["language"]["lang"] == best and abs(r["language"]["score"] - max(cosines.get(best, 0.0), 0.0)) < 1e-5
+
+
+def test_long_text_of_many_letters_stays_in_bounds(spark):
+    import resource
+
+    text = "".join(chr(0x4E00 + k * 7919 % 20_000) for k in range(200_000))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert np.isfinite(li.bundle([li.grams(text)])).all()
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400 * 1024  # vectors of all its n-grams at once would be over 800 MB
