@@ -1,9 +1,12 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
-A text is lower-cased and cut into tokens (runs of letters and digits; ideographs and kana one by one; a text without
-any is one token). Every run of k tokens is hashed; of each w consecutive hashes the smallest is kept, the rightmost
-of equal ones, with its position. Two texts that share a run of at least w + k - 1 tokens share a fingerprint, and
-nothing shorter than k tokens can match.
+A text is lower-cased and cut into tokens (runs of letters and digits, longer ones in pieces of PIECE characters;
+ideographs and kana one by one; a text without any is one token). Every run of k tokens has a rolling hash, the
+exclusive or of its tokens' hashes, each rotated as often as tokens follow. Hashes roll over the whole text at once by
+doubling: that of a run is rolled on from those of its two halves, so no run's tokens are read again. Minima of w
+consecutive hashes double in the same way; of each w hashes the smallest is kept, the rightmost of equal ones, with its
+position. Two texts that share a run of at least w + k - 1 tokens share a fingerprint, and nothing shorter than k
+tokens can match.
 
 Defined results: a null text is empty; an empty text has no fingerprint and is like only another empty one; a text
 under k tokens has one fingerprint of them all, one under w + k - 1 tokens the smallest of its hashes. The next
@@ -18,11 +21,10 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 
-K, W = 5, 8
-TOKEN = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]|[\p{L}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}]]+"
-#: Hash and reversed position share one number, so that the smallest number is the smallest hash at its last position.
-BITS = 31
-LOW = (1 << BITS) - 1
+K, W, PIECE = 5, 8, 16
+TOKEN = rf"[\p{{IsHan}}\p{{IsHiragana}}\p{{IsKatakana}}]|[\p{{L}}\p{{N}}&&[^\p{{IsHan}}\p{{IsHiragana}}\p{{IsKatakana}}]]{{1,{PIECE}}}"
+#: Bits of a hash; the sign is left out.
+MASK = (1 << 63) - 1
 #: Ranges of ids for each shuffle partition.
 RANGES_PER_PARTITION = 4
 
@@ -32,32 +34,63 @@ def _let(value: Column, then) -> Column:
     return F.transform(F.array(value), then)[0]
 
 
+def _doubled(start: Column, length: int, join) -> Column:
+    """From what each place holds alone, what each run of `length` places holds: join(of the run's first part, of its second part, places of the second).
+
+    Runs of 1, 2, 4, … places are joined from two runs of half as many, and those that `length` is the sum of from each other.
+    """
+
+    def joined(a: Column, size_a: int, b: Column, size_b: int) -> Column:
+        fits = F.size(b) - size_a
+        return F.when(fits <= 0, F.slice(a, 1, 0)).otherwise(F.transform(F.slice(a, F.lit(1), fits), lambda x, i: join(x, F.get(b, i + size_a), size_b)))
+
+    def grown(double: Column, places: int, done: Column | None, have: int) -> Column:
+        """double holds runs of `places`, done those of `have` places that come after what is still to be joined."""
+
+        def on(whole: Column, now: int) -> Column:
+            if now == length:
+                return whole
+            return _let(joined(double, places, double, places), lambda d: grown(d, 2 * places, whole, now))
+
+        if not length & places:
+            return _let(joined(double, places, double, places), lambda d: grown(d, 2 * places, done, have))
+        if done is None:
+            return on(double, places)
+        return _let(joined(double, places, done, have), lambda whole: on(whole, have + places))
+
+    return _let(start, lambda d: grown(d, 1, None, 0))
+
+
+def _rolled(first: Column, second: Column, places: int) -> Column:
+    return F.shiftleft(first, places % 64).bitwiseOR(F.shiftrightunsigned(first, 64 - places % 64)).bitwiseXOR(second)
+
+
+def gram_hashes(hashed: Column, k: int) -> Column:
+    """Rolling hashes of the runs of k tokens of an array of token hashes, one of all tokens where they are fewer; none of none."""
+    whole = F.aggregate(hashed, F.lit(0).cast("long"), lambda s, h: _rolled(s, h, 1))
+    runs = F.when(F.size(hashed) == 0, hashed).when(F.size(hashed) <= k, F.array(whole)).otherwise(_doubled(hashed, k, _rolled))
+    return F.transform(runs, lambda x: x.bitwiseAND(F.lit(MASK)))
+
+
+def minima(hashes: Column, w: int) -> Column:
+    """Places (from 0) of the smallest of each w consecutive hashes, the rightmost of equal ones, each place once and in order."""
+    better = lambda a, b: F.when(F.get(hashes, b) <= F.get(hashes, a), b).otherwise(a)
+    places = F.transform(hashes, lambda _, i: i)
+    few = F.array(F.aggregate(places, F.lit(0), lambda a, b: better(a, b)))
+    return F.when(F.size(hashes) == 0, places).when(F.size(hashes) <= w, few).otherwise(F.array_distinct(_doubled(places, w, lambda a, b, _: better(a, b))))
+
+
 def winnow(text: Column, k: int = K, w: int = W) -> Column:
-    """The fingerprint of a text: array of numbers by position, each holding a hash and the token position (from 1)."""
+    """The fingerprint of a text: array<struct<hash: long, pos: int>> by position, the number of the run's first token (from 1)."""
     text = F.coalesce(text.cast("string"), F.lit(""))
     tokens = F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
-    hashes = _let(F.transform(tokens, lambda t: F.xxhash64(t)), lambda h: F.when((F.size(h) == 0) & (text != ""), F.array(F.xxhash64(text))).otherwise(h))
-    packed = lambda h, at: F.shiftleft(h.bitwiseAND(F.lit(LOW)), BITS).bitwiseOR((F.lit(LOW) - at).cast("long"))
-    grams = lambda h: (
-        F.when(F.size(h) == 0, F.array().cast("array<bigint>"))
-        .when(F.size(h) <= k, F.array(packed(F.xxhash64(h), F.lit(1))))
-        .otherwise(F.transform(F.sequence(F.lit(1), F.size(h) - (k - 1)), lambda i: packed(F.xxhash64(F.slice(h, i, k)), i)))
-    )
-    least = lambda g: (
-        F.when(F.size(g) == 0, g)
-        .when(F.size(g) <= w, F.array(F.array_min(g)))
-        .otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(g) - (w - 1)), lambda i: F.array_min(F.slice(g, i, w)))))
-    )
-    return _let(_let(hashes, grams), least)
-
-
-def parts(fingerprint: Column) -> Column:
-    """The fingerprint as array<struct<hash: long, pos: int>>."""
-    return F.transform(fingerprint, lambda x: F.struct(F.shiftright(x, BITS).alias("hash"), (F.lit(LOW) - x.bitwiseAND(F.lit(LOW))).cast("int").alias("pos")))
+    tokens = _let(tokens, lambda t: F.when((F.size(t) == 0) & (text != ""), F.array(text)).otherwise(t))
+    kept = lambda g: F.transform(minima(g, w), lambda i: F.struct(F.get(g, i).alias("hash"), (i + 1).alias("pos")))
+    return _let(_let(F.transform(tokens, lambda t: F.xxhash64(t)), lambda h: gram_hashes(h, k)), kept)
 
 
 def hashes(fingerprint: Column) -> Column:
-    return F.array_distinct(F.transform(fingerprint, lambda x: F.shiftright(x, BITS)))
+    return F.array_distinct(fingerprint["hash"])
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -68,12 +101,12 @@ def likeness(a: Column, b: Column) -> Column:
 
 def written(fingerprint: Column) -> Column:
     """The fingerprint as text: hash in hexadecimal digits, colon and position, joined by commas."""
-    return F.array_join(F.transform(fingerprint, lambda x: F.concat(F.lower(F.hex(F.shiftright(x, BITS))), F.lit(":"), (F.lit(LOW) - x.bitwiseAND(F.lit(LOW))).cast("string"))), ",")
+    return F.array_join(F.transform(fingerprint, lambda x: F.concat(F.lower(F.hex(x["hash"])), F.lit(":"), x["pos"].cast("string"))), ",")
 
 
 def fingerprints(docs: DataFrame, *, text: str = "text", k: int = K, w: int = W) -> DataFrame:
     """docs with a column fingerprint: array of struct(hash, pos)."""
-    return docs.withColumn("fingerprint", parts(winnow(F.col(text), k, w)))
+    return docs.withColumn("fingerprint", winnow(F.col(text), k, w))
 
 
 def _ranges(docs: DataFrame, bounds: list[int]) -> Column:

@@ -2,8 +2,9 @@ import hashlib
 import random
 
 import pytest
+import regex
+import xxhash
 from helpers import SHAPE, odd_documents, sentence
-from pyspark.sql import functions as F
 
 from lakesync.llm import winnowing as wn
 
@@ -13,8 +14,21 @@ def prints(spark, *texts):
     return [[(x["hash"], x["pos"]) for x in r["fingerprint"]] for r in wn.fingerprints(df).orderBy("i").collect()]
 
 
-def model(hashes, w=wn.W):
-    """Winnowing of a list of hashes by definition: positions from 1, rightmost of equal minima."""
+def like(a, b):
+    a, b = ({h for h, _ in x} for x in (a, b))
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def model(text, k=wn.K, w=wn.W):
+    """Winnowing by definition, of a text: hash and position (from 1) of the rightmost smallest hash of each window."""
+    tokens = regex.findall(wn.TOKEN.replace("Is", "").replace("&&[^", "--["), (text or "").lower(), regex.V1) or ([text] if text else [])
+    hashed = [xxhash.xxh64_intdigest(t, 42) for t in tokens]
+    hashes = []
+    for s in range(max(1, len(hashed) - k + 1) if hashed else 0):
+        value = 0
+        for h in hashed[s : s + k]:
+            value = ((value << 1 | value >> 63) & (2**64 - 1)) ^ h
+        hashes.append(value & wn.MASK)
     out = []
     for s in range(max(1, len(hashes) - w + 1)):
         part = hashes[s : s + w]
@@ -26,14 +40,18 @@ def model(hashes, w=wn.W):
     return out
 
 
+TEXTS = [None, "", "a", "!?", "a b c d e", "日本語テキスト and words", sentence(1, 200), "a b " * 40, sentence(2, 9), sentence(3, 12), sentence(4, 13), "x" * 1000, "Ab9-" * 60, "one two three four"]
+
+
 def test_equals_the_definition(spark):
-    texts = [sentence(1, 200), "a b " * 40, sentence(2, 9), sentence(3, 12), sentence(4, 13)]
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
-    words = F.regexp_extract_all(F.lower("text"), F.lit(wn.TOKEN), F.lit(0))
-    h = F.transform(words, lambda t: F.xxhash64(t))
-    grams = F.transform(F.sequence(F.lit(1), F.size("h") - wn.K + 1), lambda i: F.xxhash64(F.slice("h", i, wn.K)).bitwiseAND(F.lit(wn.LOW)))
-    hashed = [r["g"] for r in df.select("i", h.alias("h")).select("i", grams.alias("g")).orderBy("i").collect()]
-    assert prints(spark, *texts) == [model(g) for g in hashed]
+    assert prints(spark, *TEXTS) == [model(t) for t in TEXTS]
+
+
+@pytest.mark.parametrize(("k", "w"), [(1, 1), (2, 3), (3, 7), (6, 2), (7, 11)])
+def test_any_sizes_equal_the_definition(spark, k, w):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "i int, text string")
+    found = [[(x["hash"], x["pos"]) for x in r["fingerprint"]] for r in wn.fingerprints(df, k=k, w=w).orderBy("i").collect()]
+    assert found == [model(t, k, w) for t in TEXTS]
 
 
 def test_shared_runs_share_a_fingerprint(spark):
@@ -67,9 +85,9 @@ def test_edited_texts(spark, partitions):
         edited = text[: len(text) - half] + after[:half]
         r = found[i]
         assert (r["n_chars"], r["edited_sha256"]) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
-        assert (r["near_edited"] == 1) if edited == text else True
-        assert r["near_next"] == 1 if after == text else 0 <= r["near_next"] <= 1
-        assert r["fingerprint"] == r["edited_fingerprint"] if edited == text else True
+        own, changed, following = (model(t) for t in (text, edited, after))
+        assert (r["fingerprint"], r["edited_fingerprint"]) == tuple(",".join(f"{h:x}:{at}" for h, at in x) for x in (own, changed))
+        assert (r["near_edited"], r["near_next"]) == (like(own, changed), like(own, following))
 
 
 def test_odd_documents(spark):
