@@ -9,13 +9,15 @@ a block. Pairs of one size within that radius are verified exactly: the weighted
 shingles (weight: number of times) must reach THRESHOLD. Equal windows are fingerprinted, looked up and verified once.
 
 Words are lower-cased runs of letters and digits. Defined results: null texts are empty; documents and items of under
-N words hold and give no shingles and never match; repeated rows and equal ids are one document in the result; a null
-id is a document id like others, and an item id too; items of one id are searched each by itself and are one item in
+N words hold and give no shingles and never match; repeated rows are one document in the result, other texts of one id
+are documents of their own; a null id is a document id like others, and an item id too; items of one id are searched each by itself and are one item in
 the result, of which the best window counts; empty tables give an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +27,8 @@ N, THRESHOLD = 5, 0.8
 BLOCKS, NEAR = 8, 3
 RADIUS = BLOCKS * (NEAR + 1) - 1
 WORD = r"[\p{L}\p{N}]+"
-#: Anchors (16 bytes each) up to this number are sent to all executors; beyond it shingles and anchors are joined by a shuffle.
-BROADCAST_ANCHORS = 1_000_000
+#: Anchors (16 bytes each) that are sent to all executors at once; more are looked for block by block, a scan of the documents each.
+BLOCK_ANCHORS = 1_000_000
 
 
 def word_hashes(text: Column) -> Column:
@@ -97,26 +99,24 @@ def starts(at: Column, n_words: Column, size: Column) -> Column:
     return F.transform(F.array(F.sort_array(at)), lambda s: F.flatten(F.transform(s, lambda p, i: added(s, p, i))))[0]
 
 
-def windows(docs: DataFrame, marks: DataFrame, broadcast: bool) -> DataFrame:
-    """doc_id, n_words, start (word, from 0), words of the windows that hold an anchor; docs has doc_id, text."""
+def windows(docs: DataFrame, marks: DataFrame, blocks: int) -> DataFrame:
+    """doc_id, text_hash, n_words, start (word, from 0), words of the windows that hold an anchor; docs has doc_id, text."""
     hashed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), word_hashes(F.col("text")).alias("words")).withColumn("found", shingles(F.col("words")))
-    if broadcast:
-        each = hashed.select("doc_id", "text_hash", "words", F.posexplode_outer("found").alias("pos", "anchor"))
-        hits = each.join(F.broadcast(marks), "anchor").groupBy("doc_id", "text_hash", "n_words").agg(F.collect_set("pos").alias("at"), F.first("words").alias("words"))
-    else:
-        each = hashed.select("doc_id", "text_hash", F.posexplode_outer("found").alias("pos", "anchor"))
-        hits = each.join(marks, "anchor").groupBy("doc_id", "text_hash", "n_words").agg(F.collect_set("pos").alias("at"))
-        hits = hits.withColumn("id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-        known = hashed.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "text_hash", "words").dropDuplicates(["id", "text_hash"])
-        hits = hits.join(known, ["id", "text_hash"])
-    laid = hits.select("doc_id", "n_words", "words", F.explode(starts(F.col("at"), F.col("n_words"), F.size("words"))).alias("start"))
-    return laid.select("doc_id", "n_words", "start", F.slice("words", F.col("start") + 1, F.col("n_words")).alias("words"))
+    each = hashed.select("doc_id", "text_hash", "words", F.posexplode_outer("found").alias("pos", "anchor"))
+
+    def laid(block: int) -> DataFrame:
+        held = F.broadcast(marks.where(F.pmod(F.xxhash64("anchor"), F.lit(blocks)) == block))
+        hits = each.join(held, "anchor").groupBy("doc_id", "text_hash", "n_words").agg(F.collect_set("pos").alias("at"), F.first("words").alias("words"))
+        return hits.select("doc_id", "text_hash", "n_words", "words", F.explode(starts(F.col("at"), F.col("n_words"), F.size("words"))).alias("start"))
+
+    every = reduce(DataFrame.union, map(laid, range(blocks)))
+    return every.select("doc_id", "text_hash", "n_words", "start", F.slice("words", F.col("start") + 1, F.col("n_words")).alias("words"))
 
 
 def contaminated(
     docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
-    """One row per document and benchmark item that it holds: doc_id, item_id, and of its best window start, n_words, hamming, similarity."""
+    """One row per document and benchmark item that it holds: doc_id, text_hash (of the text, by which texts of one id are told apart), item_id, and of its best window start, n_words, hamming, similarity."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontaminate")
     named = items.select(F.col(item_id).alias("item_id"), word_hashes(F.col(item_text)).alias("words")).where(F.size("words") >= N)
@@ -124,8 +124,8 @@ def contaminated(
     items = scratch.table(_items(items, item_text), "items")
     marks = scratch.table(anchors(items), "anchors")
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    found = windows(docs, marks, marks.count() <= BROADCAST_ANCHORS).withColumn("window", F.xxhash64("n_words", "words"))
-    found = found.groupBy("doc_id", "window").agg(F.min("start").alias("start"), F.first("n_words").alias("n_words"), F.first("words").alias("words"))
+    found = windows(docs, marks, max(-(-marks.count() // BLOCK_ANCHORS), 1)).withColumn("window", F.xxhash64("n_words", "words"))
+    found = found.groupBy("doc_id", "text_hash", "window").agg(F.min("start").alias("start"), F.first("n_words").alias("n_words"), F.first("words").alias("words"))
     found = scratch.table(found, "windows")
 
     distinct = found.groupBy("window").agg(F.first("n_words").alias("n_words"), F.first("words").alias("words"))
@@ -143,7 +143,8 @@ def contaminated(
     checked = bags.withColumn("similarity", both / (F.size("a") + F.size("b") - both)).where(F.col("similarity") >= F.lit(THRESHOLD) - 1e-12)
     checked = scratch.table(checked.select("window", "item", "n_words", "hamming", "similarity"), "checked")
     best = F.max_by(F.struct("start", "n_words", "hamming", "similarity"), F.struct("similarity", -F.col("hamming"), -F.col("start"))).alias("best")
-    return found.select("doc_id", "window", "start").join(checked, "window").join(named, "item").groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
+    found = found.select("doc_id", "text_hash", "window", "start").join(checked, "window").join(named, "item")
+    return found.groupBy("doc_id", "text_hash", "item_id").agg(best).select("doc_id", "text_hash", "item_id", "best.*")
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
