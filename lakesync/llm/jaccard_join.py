@@ -6,17 +6,20 @@ representative with a weight. Representatives get HASHES MinHash values; those t
 BANDS bands are candidates (a pair at similarity 0.8 shares none with probability 3e-6). MinHash values of candidates
 are compared a few at a time, and a pair is dropped as soon as the posterior probability that it reaches the threshold,
 from a uniform prior, falls below TOLERANCE. All others are verified on the sets themselves. The first comparison is
-part of the join that makes the candidates: the last bits of SKETCH values, and the sizes of the sets, whose ratio is a
-bound of their similarity. So documents that share no more than a common passage do not become rows.
+part of the join that makes the candidates: a mixed bit of each of SKETCH values, and the sizes of the sets, whose ratio
+is a bound of their similarity. So documents that share no more than a common passage do not become rows.
 
 Large groups of near copies are neither paired in a table nor gathered in a task: each representative follows a leader,
 one of the smallest representatives of its buckets that it resembles and that most others follow, or that one's own.
-Pairs with one leader are compared in memory, in blocks of BLOCK representatives, of which only sums and roots come
-out; candidate pairs between leaders, of which there are few, are a table.
+Pairs with one leader are compared in memory, in blocks bounded by rows and bytes, of which only sums and roots come
+out. In a bucket of several leaders those that do not follow its main one are paired with all others of other leaders;
+large buckets are dealt in cells of CELL rows on either side, so that no task holds a bucket. Joins on buckets, leaders
+and representatives deal the rows of hot keys over tasks (common.spread_join).
 
 Defined results: a text without words is in a class of its own and has no links; null texts count as such; rows
 with a null id count as documents and get the smallest id of their class (null if it has none); repeated rows are
-documents of their own; an empty table gives an empty result; other columns are ignored.
+documents of their own; of a class the document with the smallest id (null first), of equal ids the one with the
+smallest hash of its text, leads; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, read_table, small_batches
+from .common import Scratch, read_table, small_batches, spread_join
 from .components import components
 
 N, THRESHOLD = 5, 0.8
@@ -39,8 +42,12 @@ BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 STEP, TOLERANCE = 16, 1e-6
 SKETCH = 128
-#: Estimated similarity from which a representative follows a leader, and the largest number compared at once in memory.
-LEAD, BLOCK = 0.4, 256
+#: Estimated similarity from which a representative follows a leader.
+LEAD = 0.4
+#: Representatives and bytes of sets of a block (about, as they are dealt by hash), and how many of a block are compared at once.
+BLOCK, BLOCK_BYTES, TILE = 1024, 8 << 20, 256
+#: Rows of a bucket on either side that are paired in one cell.
+CELL = 4096
 #: Word hashes that a worker keeps.
 KEPT_WORDS = 500_000
 _WORD = re.compile(r"\w+")
@@ -123,9 +130,9 @@ def least_matches(threshold: float) -> list[tuple[int, int]]:
 
 @cache
 def most_unequal_bits(threshold: float) -> int:
-    """Of SKETCH last bits of MinHash values, how many may differ before the posterior of reaching threshold is below TOLERANCE.
+    """Of SKETCH bits of MinHash values, how many may differ before the posterior of reaching threshold is below TOLERANCE.
 
-    Last bits agree with chance (1 + similarity) / 2, so a uniform prior of similarity is one of that chance from 1/2 to 1.
+    Bits agree with chance (1 + similarity) / 2, so a uniform prior of similarity is one of that chance from 1/2 to 1.
     """
     above = lambda p, equal: sum(comb(SKETCH + 1, m) * p**m * (1 - p) ** (SKETCH + 1 - m) for m in range(equal + 1))
     equal = 0
@@ -170,8 +177,13 @@ def _buckets(values: pd.Series) -> pd.Series:
     return pd.Series(list(out.astype(np.int64)))
 
 
+def sketch(values: np.ndarray) -> np.ndarray:
+    """A bit of each of SKETCH MinHash values, mixed with the value's number: the values' own bits go together in small sets."""
+    return (_mixed(_mixed(values[:, :SKETCH].astype(np.uint64) * _ODD + np.arange(SKETCH, dtype=np.uint64))) >> np.uint64(63)).astype(np.uint8)
+
+
 def _sketches(values: pd.Series) -> pd.DataFrame:
-    bits = np.packbits(_rows(values)[:, :SKETCH] & np.uint32(1), axis=1).view(np.int64) if len(values) else np.empty((0, 2), dtype=np.int64)
+    bits = np.packbits(sketch(_rows(values)), axis=1).view(np.int64) if len(values) else np.empty((0, 2), dtype=np.int64)
     return pd.DataFrame({"low": bits[:, 0], "high": bits[:, 1]})
 
 
@@ -222,96 +234,122 @@ def common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _compare(rows: pd.DataFrame) -> pd.DataFrame:
-    """Links within one block or between two blocks of representatives: for each its links' weight and the smallest it hangs together with."""
-    first = rows["block"] == rows["low"]
-    x, y = rows[first].reset_index(drop=True), rows[~first if rows["low"].iloc[0] != rows["high"].iloc[0] else first].reset_index(drop=True)
-    if not len(x) or not len(y):
-        return pd.DataFrame({"rep": [], "links": [], "root": []}).astype("int64")
-    same = rows["low"].iloc[0] == rows["high"].iloc[0]
+def _linked(x: pd.DataFrame, y: pd.DataFrame, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of x and y (of x and itself: each pair once) at THRESHOLD or more."""
     a, b = np.triu_indices(len(x), 1) if same else (g.ravel() for g in np.indices((len(x), len(y))))
     alive = survivors(_rows(x["values"]), _rows(y["values"]), a, b)
     a, b = a[alive], b[alive]
+    if not len(a):
+        return a, b
     left, right = ([np.frombuffer(s, dtype=np.uint64) for s in side["set"]] for side in (x, y))
     both = common(left, right)[a, b].astype(np.int64)
     nx, ny = np.array([len(s) for s in left]), np.array([len(s) for s in right])
     linked = both >= THRESHOLD * (nx[a] + ny[b] - both) - 1e-9
-    a, b = a[linked], b[linked]
-    reps = np.concatenate([x["rep"].to_numpy(), y["rep"].to_numpy()])
-    at = b if same else b + len(x)
-    links = np.zeros(len(reps), dtype=np.int64)
-    weight = np.concatenate([x["weight"].to_numpy(), y["weight"].to_numpy()])
-    np.add.at(links, a, weight[at])
-    np.add.at(links, at, weight[a])
-    root = reps.copy()
-    while len(a):
-        lower = np.minimum(root[a], root[at])
-        before = root.copy()
-        np.minimum.at(root, a, lower)
-        np.minimum.at(root, at, lower)
-        if (root == before).all():
-            break
-    hit = links > 0
-    return pd.DataFrame({"rep": reps[hit], "links": links[hit], "root": root[hit]})
+    return a[linked], b[linked]
+
+
+def _compare(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links within one block or between two blocks of representatives: for each its links' weight and the smallest it hangs together with."""
+    first = rows["block"] == rows["low"]
+    x, y = rows[first].reset_index(drop=True), rows[~first].reset_index(drop=True)
+    same = rows["low"].iloc[0] == rows["high"].iloc[0]
+    reps, weight = (np.concatenate([x[c].to_numpy(), y[c].to_numpy()]) for c in ("rep", "weight"))
+    links, label = np.zeros(len(reps), dtype=np.int64), np.arange(len(reps))
+    other, shift = (x, 0) if same else (y, len(x))
+    for i in range(0, len(x), TILE):
+        for j in range(i if same else 0, len(other), TILE):
+            a, b = _linked(x.iloc[i : i + TILE], other.iloc[j : j + TILE], same and i == j)
+            a, b = a + i, b + j + shift
+            np.add.at(links, a, weight[b])
+            np.add.at(links, b, weight[a])
+            while (apart := label[a] != label[b]).any():  # all rows of the higher label take on the lower one
+                lower = np.arange(len(reps))
+                np.minimum.at(lower, np.maximum(label[a], label[b])[apart], np.minimum(label[a], label[b])[apart])
+                label = lower[label]
+    hit, least = links > 0, np.full(len(reps), np.iinfo(np.int64).max)
+    np.minimum.at(least, label, reps)
+    return pd.DataFrame({"rep": reps[hit], "links": links[hit], "root": least[label][hit]})
+
+
+def _leaders(banded: DataFrame, full: DataFrame, values: DataFrame, scratch: Scratch) -> DataFrame:
+    """rep, leader: of the smallest representatives of its buckets that it resembles, the one that most others follow, or that one's own leader."""
+    met = spread_join(banded, full.select("bucket", "first", "n"), "bucket", F.col("rep"), full)
+    met = met.where("rep <> first").groupBy("rep", "first").agg(F.max("n").alias("n"))
+    met = scratch.table(met.join(values, "rep"), "met")
+    firsts = scratch.table(met.groupBy("first").agg(F.count(F.lit(1)).alias("n")), "firsts")
+    named = firsts.select("first").join(values.select(F.col("rep").alias("first"), F.col("values").alias("first_values")), "first")
+    follows = spread_join(met.select("rep", "values", "first"), named, "first", F.col("rep"), firsts)
+    follows = scratch.table(follows.where(_likely(LEAD)("values", "first_values") >= LEAD).select("rep", "first"), "follows")
+    scratch.drop("met")
+    followers = scratch.table(follows.groupBy("first").agg(F.count(F.lit(1)).alias("n")), "followers")
+    best = spread_join(follows, followers, "first", F.col("rep"), followers).groupBy("rep").agg(F.max(F.struct("n", F.col("first").alias("leader"))).alias("best"))
+    own = followers.select(F.col("first").alias("rep"), F.struct("n", F.col("first").alias("leader")).alias("own"))
+    chosen = scratch.table(best.join(own, "rep", "left").select("rep", F.greatest("best", "own")["leader"].alias("leader")), "chosen")
+    theirs = chosen.select(F.col("rep").alias("leader"), F.col("leader").alias("theirs"))
+    led = spread_join(chosen, theirs, "leader", F.col("rep"), chosen.groupBy("leader").agg(F.count(F.lit(1)).alias("n")), "left")
+    return scratch.table(led.select("rep", F.coalesce("theirs", "leader").alias("leader")), "leaders")
+
+
+def _apart(led: DataFrame, sketches: DataFrame, full: DataFrame, scratch: Scratch) -> DataFrame:
+    """a, b: representatives of different leaders that share a bucket and whose sketches and sizes let them reach the threshold."""
+    counted = led.groupBy("bucket", "leader").agg(F.count(F.lit(1)).alias("n"))
+    mixed = counted.groupBy("bucket").agg(F.max(F.struct("n", "leader")).alias("main"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("leaders")).where("leaders > 1")
+    cells = lambda n: F.ceil(n / F.lit(CELL)).cast("int")
+    mixed = scratch.table(mixed.select("bucket", F.col("main.leader").alias("main"), cells(F.col("all") - F.col("main.n")).alias("a_cells"), cells(F.col("all")).alias("b_cells")), "mixed")
+    rows = scratch.table(spread_join(led, mixed, "bucket", F.col("rep"), full).join(sketches, "rep"), "mixed_rows")
+    side = lambda df, name: df.select("bucket", "a_cell", "b_cell", *(F.col(c).alias(f"{name}_{c}") for c in ("rep", "leader", "n", "low", "high")), *(["main"] if name == "b" else []))
+    dealt = lambda cells: F.pmod(F.xxhash64("rep"), F.col(cells)).cast("int")
+    every = lambda cells: F.explode(F.sequence(F.lit(0), F.col(cells) - 1))
+    a = side(rows.where("leader <> main").withColumn("a_cell", dealt("a_cells")).withColumn("b_cell", every("b_cells")), "a")
+    b = side(rows.withColumn("b_cell", dealt("b_cells")).withColumn("a_cell", every("a_cells")), "b")
+    unequal = sum(F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in ("low", "high"))
+    similar = (F.least("a_n", "b_n") >= F.greatest("a_n", "b_n") * F.lit(THRESHOLD) - 1e-9) & (unequal <= most_unequal_bits(THRESHOLD))
+    once = (F.col("b_leader") == F.col("main")) | (F.col("a_rep") < F.col("b_rep"))
+    same = (a["bucket"] == b["bucket"]) & (a["a_cell"] == b["a_cell"]) & (a["b_cell"] == b["b_cell"])
+    pairs = a.join(b, same & (F.col("a_leader") != F.col("b_leader")) & once & similar)
+    return pairs.select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, class_id (smallest id among what hangs together by links), n_links (other documents at THRESHOLD or more)."""
+    """One row per document: doc_id, text_hash, class_id (smallest id among what hangs together by links), n_links (other documents at THRESHOLD or more), leads (whether it is the first of its class)."""
     spark = docs.sparkSession
     small_batches(spark)
     scratch = Scratch(spark, "jaccard")
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    place = [F.coalesce("doc_id", F.lit(-1)).alias("at_id"), F.xxhash64("text").alias("at_text")]
+    place = F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("place")
     describe = F.pandas_udf(_describe, "rep long, values binary, n int")
-    described = scratch.table(texts.select("doc_id", *place, describe("text").alias("d")).select("doc_id", "at_id", "at_text", "d.*"), "described")
+    described = scratch.table(texts.select(place, describe("text").alias("d")).select("place", "d.*"), "described")
     reps = described.where("rep is not null").groupBy("rep").agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("weight"), F.min(F.struct("at_id", "at_text")).alias("place"), F.first("values").alias("values"), F.first("n").alias("n")
+        F.min("place.doc_id").alias("doc_id"), F.count(F.lit(1)).alias("weight"), F.min("place").alias("place"), F.first("values").alias("values"), F.first("n").alias("n")
     )
-    reps = scratch.table(reps.select("rep", "doc_id", "weight", "place.*", "values", "n"), "reps")
-    members = scratch.table(described.select("doc_id", "rep"), "members")
+    reps = scratch.table(reps, "reps")
+    members = scratch.table(described.select("place", "rep"), "members")
     scratch.drop("described")
 
     values = reps.select("rep", "values")
-    banded = values.select("rep", F.explode(F.pandas_udf(_buckets, "array<long>")("values")).alias("bucket"))
-    full = banded.groupBy("bucket").agg(F.min("rep").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    met = scratch.table(banded.join(full, "bucket"), "met")
-    named = lambda name: values.select(F.col("rep").alias(name), F.col("values").alias(f"{name}_values"))
-    follows = met.where("rep <> first").select("rep", "first").distinct().join(named("rep"), "rep").join(named("first"), "first")
-    follows = scratch.table(follows.where(_likely(LEAD)("rep_values", "first_values") >= LEAD).select("rep", "first"), "follows")
-    followers = follows.groupBy("first").agg(F.count(F.lit(1)).alias("n"))
-    best = follows.join(followers, "first").groupBy("rep").agg(F.max(F.struct("n", F.col("first").alias("leader"))).alias("best"))
-    own = followers.select(F.col("first").alias("rep"), F.struct("n", F.col("first").alias("leader")).alias("own"))
-    leaders = best.join(own, "rep", "left").select("rep", F.greatest("best", "own")["leader"].alias("leader"))
-    theirs = leaders.select(F.col("rep").alias("leader"), F.col("leader").alias("theirs"))
-    leaders = scratch.table(leaders.join(theirs, "leader", "left").select("rep", F.coalesce("theirs", "leader").alias("leader")), "leaders")
-
-    led = met.drop("first").join(leaders, "rep", "left").select("bucket", "rep", F.coalesce("leader", "rep").alias("leader"))
-    led = scratch.table(led, "led")
-    scratch.drop("met")
-    mixed = led.groupBy("bucket").agg(F.min("leader").alias("low"), F.max("leader").alias("high")).where("low <> high").select("bucket")
+    banded = scratch.table(values.select("rep", F.explode(F.pandas_udf(_buckets, "array<long>")("values")).alias("bucket")), "banded")
+    full = scratch.table(banded.groupBy("bucket").agg(F.min("rep").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "full")
+    leaders = _leaders(banded, full, values, scratch)
+    led = spread_join(banded, full.select("bucket"), "bucket", F.col("rep"), full).join(leaders, "rep", "left")
+    led = scratch.table(led.select("bucket", "rep", F.coalesce("leader", "rep").alias("leader")), "led")
+    scratch.drop("banded")
     sketches = reps.select("rep", "n", F.pandas_udf(_sketches, "low long, high long")("values").alias("bits")).select("rep", "n", "bits.*")
-    apart = led.join(mixed, "bucket", "left_semi").join(sketches, "rep")
-    side = lambda name: apart.select("bucket", *(F.col(c).alias(f"{name}_{c}") for c in ("rep", "leader", "n", "low", "high")))
-    unequal = sum(F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in ("low", "high"))
-    similar = (F.least("a_n", "b_n") >= F.greatest("a_n", "b_n") * F.lit(THRESHOLD) - 1e-9) & (unequal <= most_unequal_bits(THRESHOLD))
-    near = (F.col("a_rep") < F.col("b_rep")) & (F.col("a_leader") != F.col("b_leader")) & similar
-    a, b = side("a"), side("b")
-    pairs = a.join(b, (a["bucket"] == b["bucket"]) & near).select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).distinct()
+    pairs = _apart(led, sketches, full, scratch)
+    named = lambda name: values.select(F.col("rep").alias(name), F.col("values").alias(f"{name}_values"))
     pairs = pairs.join(named("a"), "a").join(named("b"), "b")
     pairs = scratch.table(pairs.where(_likely(THRESHOLD)("a_values", "b_values") > 0).select("a", "b"), "pairs")
 
-    groups = led.select("rep", "leader").distinct()
-    sizes = groups.groupBy("leader").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    groups = scratch.table(groups.join(sizes, "leader"), "groups")
-    scratch.drop("led", "leaders", "follows")
-    wanted = groups.select("rep").union(pairs.select("a")).union(pairs.select("b")).distinct()
-    wanted = wanted.join(reps.select("rep", "at_id", "at_text"), "rep")
-    asked = texts.select("text", *place).join(wanted, ["at_id", "at_text"]).groupBy("at_id", "at_text", "rep").agg(F.first("text").alias("text"))
-    small_batches(spark)
+    groups = scratch.table(led.select("rep", "leader").distinct().join(reps.select("rep", "n"), "rep"), "grouped")
+    scratch.drop("led", "leaders", "follows", "mixed_rows")
+    sizes = groups.groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("elements")).where("n > 1")
+    sizes = scratch.table(sizes.select("leader", "n", F.ceil(F.greatest(F.col("n") / F.lit(BLOCK), F.col("elements") * 8 / F.lit(BLOCK_BYTES))).cast("int").alias("blocks")), "sizes")
+    groups = scratch.table(spread_join(groups.select("rep", "leader"), sizes.select("leader", "blocks"), "leader", F.col("rep"), sizes), "groups")
+    wanted = groups.select("rep").union(pairs.select("a")).union(pairs.select("b")).distinct().join(reps.select("rep", "place"), "rep")
+    asked = texts.select("text", place).join(wanted.select("rep", F.col("place").alias("wanted")), F.col("place").eqNullSafe(F.col("wanted"))).groupBy("rep").agg(F.first("text").alias("text"))
     sets = asked.select("rep", F.pandas_udf(_sets, "key long, set binary")("text").alias("s")).where("s.key = rep").select("rep", "s.set")
     sets = scratch.table(sets, "sets")
 
-    blocks = groups.withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    blocks = groups.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     blocks = blocks.join(sets, "rep").join(reps.select("rep", "weight", "values"), "rep").select("leader", "rep", "block", "weight", "values", "set", other)
     blocks = blocks.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other")
@@ -327,18 +365,22 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         counted = counted.union(across.join(weights, across[two] == weights["rep"]).select(F.col(one).alias("rep"), F.col("weight").alias("links")))
     counted = counted.groupBy("rep").agg(F.sum("links").alias("links"))
     roots = components(inside.where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")).union(across), scratch)
-    joined = reps.select("rep", "doc_id", "weight").join(roots.withColumnRenamed("node", "rep"), "rep", "left").join(counted, "rep", "left")
-    joined = joined.select("rep", "weight", F.coalesce("root", "rep").alias("root"), F.coalesce("links", F.lit(0)).alias("links"), F.col("doc_id").alias("id"))
-    classes = joined.groupBy("root").agg(F.min("id").alias("class_id"))
-    facts = scratch.table(joined.join(classes, "root").select("rep", "class_id", (F.col("weight") - 1 + F.col("links")).alias("n_links")), "facts")
-    scratch.drop("reps", "pairs", "groups", "inside", "across", "edges")
-    return members.join(facts, "rep", "left").select(
-        "doc_id", F.when(F.col("rep").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
+    joined = reps.select("rep", "doc_id", "place", "weight").join(roots.withColumnRenamed("node", "rep"), "rep", "left").join(counted, "rep", "left")
+    joined = scratch.table(joined.withColumns({"root": F.coalesce("root", "rep"), "links": F.col("weight") - 1 + F.coalesce("links", F.lit(0))}), "joined")
+    classes = joined.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.min("place").alias("leading"), F.count(F.lit(1)).alias("n"))
+    classes = scratch.table(classes, "classes")
+    facts = spread_join(joined.select("rep", "root", "weight", "links"), classes.drop("n"), "root", F.col("rep"), classes)
+    facts = scratch.table(facts.select("rep", "weight", "class_id", "leading", "links"), "facts")
+    scratch.drop("reps", "pairs", "groups", "inside", "across", "edges", "joined")
+    found = spread_join(members, facts.drop("weight"), "rep", F.col("place"), facts.select("rep", F.col("weight").alias("n")), "left")
+    return found.select(
+        "place.doc_id", "place.text_hash", F.when(F.col("rep").isNull(), F.col("place.doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), (F.col("rep").isNull() | F.col("place").eqNullSafe(F.col("leading"))).alias("leads"),
     )
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read_table(spark, sf_dir, "documents"))
+    return near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
 OP1_SQL = r"""

@@ -2,6 +2,8 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
+import pytest
 from helpers import SHAPE, odd_documents, sentence
 
 from lakesync.llm import jaccard_join as jj
@@ -38,8 +40,15 @@ def edited(text, n, seed):
     return " ".join(w)
 
 
-def test_equals_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(jj, "BLOCK", 8)
+@pytest.mark.parametrize("small", [False, True])
+def test_equals_brute_force(spark, monkeypatch, small):
+    """The second time every group, bucket and key counts as large: blocks, tiles, cells and hot keys all occur."""
+    from lakesync.llm import common
+
+    if small:
+        for name, value in (("BLOCK", 8), ("CELL", 3)):
+            monkeypatch.setattr(jj, name, value)
+        monkeypatch.setattr(common, "HOT_LEAST", 2)
     base = [sentence(k, 150) for k in range(4)]
     texts = {}
     for k in range(40):  # one large group of near copies, of which many pairs are just below or above 0.8
@@ -58,8 +67,10 @@ def test_equals_brute_force(spark, monkeypatch):
 def test_odd_documents(spark):
     docs = odd_documents(spark)
     found = jj.near_duplicates(docs)
-    assert found.columns == ["doc_id", "class_id", "n_links"]
-    rows = [tuple(r) for r in found.collect()]
+    assert found.columns == ["doc_id", "text_hash", "class_id", "n_links", "leads"]
+    rows = found.collect()
+    assert {(r["class_id"], r["doc_id"]) for r in rows if r["leads"]} >= {(9, None), (0, 0), (13, 13)} and not any(r["leads"] for r in rows if r["doc_id"] in (10, 14))
+    rows = [(r["doc_id"], r["class_id"], r["n_links"]) for r in rows]
     assert len(rows) == docs.count()
     assert {r for r in rows if r[0] in (9, 10)} == {(9, 9, 4), (10, 9, 4)} and (13, 13, 1) in rows and (14, 13, 1) in rows and (0, 0, 0) in rows and (None, 9, 4) in rows and (None, None, 0) in rows
     assert jj.near_duplicates(docs.where("false")).count() == 0
@@ -82,6 +93,27 @@ def test_minhash_estimates_similarity():
     assert abs((jj.minhash(a) == jj.minhash(b)).mean() - 0.8) < 0.1
 
 
+def test_tiles_hang_together(monkeypatch):
+    """A chain of sets, each 0.8 or more like the next one only, in an order that links tiles late."""
+    monkeypatch.setattr(jj, "TILE", 3)
+    chain = [np.arange(10 * k, 10 * k + 100, dtype=np.uint64) for k in range(24)]
+    reps = [int(r) for r in np.random.default_rng(3).permutation(24)]
+    for low, high, block in ((0, 0, [0] * 24), (0, 1, [k % 2 for k in range(24)])):
+        rows = pd.DataFrame({"rep": reps, "block": block, "low": low, "high": high, "weight": 1, "values": [jj.minhash(jj._mixed(c)).tobytes() for c in chain], "set": [np.sort(jj._mixed(c)).tobytes() for c in chain]})
+        found = jj._compare(rows)
+        assert set(found["root"]) == {0} and sorted(found["rep"]) == list(range(24)) and found["links"].sum() == 2 * 23
+
+
+def test_sketch_bits_are_independent_in_small_sets():
+    draw, lost = np.random.default_rng(1), 0
+    for _ in range(2000):
+        x = draw.integers(0, 2**63, 5, dtype=np.int64).astype(np.uint64)
+        values = np.stack([jj.minhash(x[:4]), jj.minhash(x)])
+        a, b = jj.sketch(values)
+        lost += int((a != b).sum()) > jj.most_unequal_bits(0.8)
+    assert lost <= 1
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (5, 4), (7, 7), (None, 1)] + [(k, k + 1) for k in range(20, 40)]
     found = components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "test"))
