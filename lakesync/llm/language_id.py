@@ -139,14 +139,14 @@ def train(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> dict[st
 
 
 def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], *, text: str = "text") -> DataFrame:
-    """docs with a column language: struct(lang, score), score being the cosine (0 if it is negative)."""
+    """docs with a column language: struct(lang, score, grams), score being the cosine (0 if it is negative), grams the text's number of n-grams."""
     small_batches(docs.sparkSession)
     names = list(prototypes)
     unit = np.stack([v / np.linalg.norm(v) for v in prototypes.values()]).astype(np.float32) if names else None
 
     def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            langs, scores = [], []
+            langs, scores, sizes = [], [], []
             for k in range(0, len(texts), TOGETHER):
                 counted = [grams(t) for t in texts.iloc[k : k + TOGETHER]]
                 if unit is None:
@@ -155,13 +155,14 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], *, text: str = "
                     vectors = bundle(counted)
                     near = vectors @ unit.T / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
                     best, cosines = near.argmax(axis=1), near.max(axis=1)
-                for (found, _), b, c in zip(counted, best, cosines, strict=True):
+                for (found, times), b, c in zip(counted, best, cosines, strict=True):
+                    sizes.append(int(times.sum()))
                     known = len(found) > 0 and names
                     langs.append(names[b] if known else UNKNOWN)
                     scores.append(min(max(float(c), 0.0), 1.0) if known else 0.0)
-            yield pd.DataFrame({"lang": langs, "score": scores})
+            yield pd.DataFrame({"lang": langs, "score": scores, "grams": sizes})
 
-    return docs.withColumn("language", F.pandas_udf(guess, "lang string, score double")(F.col(text).cast("string")))
+    return docs.withColumn("language", F.pandas_udf(guess, "lang string, score double, grams long")(F.col(text).cast("string")))
 
 
 def fold(doc_id: Column) -> Column:

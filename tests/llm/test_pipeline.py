@@ -48,3 +48,17 @@ def test_stages_take_odd_and_empty_tables(spark, tmp_path):
             out = stage(spark, docs, str(tmp_path))
             assert out.columns[:5] == cp.COLUMNS and out.count() <= docs.count()
             assert k == 4 or out.columns == cp.COLUMNS
+
+
+def test_texts_of_one_id_are_judged_each_by_itself(spark, tmp_path):
+    item, near = sentence(900, 30), edited(sentence(3, 90), 1, 5)
+    write(spark.createDataFrame([(1, item)], "item_id long, text string"), tmp_path, "benchmark")
+    rows = [(3, sentence(3, 90)), (9, near), (9, sentence(9, 90)), (9, f"{sentence(10, 40)} {item}"), (9, sentence(9, 90)), (12, "password=hunter2hunter2 " + sentence(12, 90)), (12, sentence(13, 90))]
+    docs, kept = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], SHAPE), {}
+    for name, stage in cp.STAGES:
+        docs = stage(spark, docs, str(tmp_path))
+        kept[name] = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    assert kept["language_id"] == sorted(rows)
+    assert kept["jaccard_join"] == sorted({r for r in rows if r != (9, near)})
+    assert kept["decontaminate"] == [r for r in kept["jaccard_join"] if item not in r[1]] and len(kept["decontaminate"]) == 4
+    assert [i for i, _ in kept["secret_scan"]] == [3, 9, 12, 12] and set(kept["mix_sources"]) <= set(kept["secret_scan"]) and len(kept["mix_sources"]) >= 3
