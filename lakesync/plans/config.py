@@ -62,6 +62,16 @@ class SchemaEvolution:
     allow_add_columns: bool = False
 
 
+@dataclass(frozen=True)
+class ParallelRead:
+    """Ranges of a number column that a database is read by, over several connections; rows outside go to the first and last."""
+
+    column: str
+    lowest: int
+    highest: int
+    connections: int
+
+
 @dataclass(frozen=True)
 class Job:
     name: str
@@ -85,6 +95,7 @@ class Job:
     iceberg_partition: Partition | None = None
     merge: Merge | None = None
     commit_granularity: str = "run"
+    parallel_read: ParallelRead | None = None
 
     @property
     def full_name(self) -> str:

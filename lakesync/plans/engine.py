@@ -23,7 +23,7 @@ from ..operators.paging import CURSOR, keyset_page, page_count, strip
 from ..session import store_settings
 from ..sources.catalog import Catalog
 from ..sources.queries import Source, open_source
-from ..sources.snapshot import Metadata, SnapshotTable
+from ..sources.snapshot import CommitConflict, Metadata, SnapshotTable
 from .config import Config, Job
 from .scheduler import with_retry
 
@@ -81,8 +81,10 @@ class SyncEngine:
 
     def _slice(self, job: Job, parameters: dict[str, Any] | None) -> DataFrame:
         bound = dict(parameters or {})
-        bound["watermark"] = self.watermark(job) or EPOCH
-        df = self.source(job.source).query(job.sql, bound)
+        mark, read = self.watermark(job) or EPOCH, job.parallel_read
+        bound["watermark"] = mark.replace(tzinfo=UTC) if job.watermark_type == "timestamptz" else mark
+        more = {"partition": (read.column, read.lowest, read.highest, read.connections)} if read else {}
+        df = self.source(job.source).query(job.sql, bound, **more)
         if job.cursor_column:
             if job.cursor_column not in df.columns:
                 raise ValueError(f"Job '{job.name}': cursor_column '{job.cursor_column}' is not in the select list")
@@ -149,7 +151,12 @@ class SyncEngine:
         else:
             after = sum(f.records for f in replaced)
             deleted = before + sum(f.records for f in added) - after if job.write_mode == "overwrite" and planned_on.partition else before + rows - deletes - after
-            table.commit_replace(planned_on, replaced, added, deleted, properties)
+            try:
+                table.commit_replace(planned_on, replaced, added, deleted, properties)
+            except CommitConflict:
+                for f in added:  # they belong to no snapshot
+                    table.files.delete(f.path)
+                raise
         return Summary(job.name, rows, deleted, page_count(rows, job.batch_size), mark)
 
     def _plan(self, job: Job, table: SnapshotTable, meta: Metadata, batch: DataFrame):
@@ -174,8 +181,10 @@ class SyncEngine:
         touched = table.files_matching(replacing, keys)
         current = table.read_files(touched) if touched else None
         plan = {"overwrite": lambda: modes.overwrite(current, staged, keys[0]), "upsert": lambda: modes.upsert(current, staged, keys), "merge_into": lambda: modes.merge_into(current, staged, keys)}
-        added = table.write_files(plan[job.write_mode](), meta)
-        table.files.delete_tree(folder)
+        try:
+            added = table.write_files(plan[job.write_mode](), meta)
+        finally:
+            table.files.delete_tree(folder)
         left = {f.path for f in touched}
         return [f for f in table._listed(meta.snapshot) if f.path not in left] + added, added
 

@@ -39,6 +39,8 @@ def _job(config: Config, job: Job) -> None:
         raise ConfigError(f"{where}: write_mode 'overwrite' needs partition_column or iceberg_partition")
     if job.write_mode in ("upsert", "merge_into") and not (job.merge and job.merge.key_columns):
         raise ConfigError(f"{where}: write_mode '{job.write_mode}' needs merge.key_columns")
+    if job.parallel_read and (job.parallel_read.connections < 1 or job.parallel_read.lowest >= job.parallel_read.highest):
+        raise ConfigError(f"{where}: parallel_read needs a connection or more and lowest below highest")
     if job.iceberg_partition:
         _one_of(where, "partition transform", job.iceberg_partition.transform, TRANSFORMS)
     if job.batch_size < 1:

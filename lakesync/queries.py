@@ -50,8 +50,10 @@ def _ts(text: str) -> Column:
 
 
 def _catalog(spark: SparkSession, name: str = "shop") -> Catalog:
-    """An empty catalog in the folder that the cluster shares; only where there is none, in a temporary one."""
+    """An empty catalog in the folder that the cluster shares; only where there is none and the master is local, in a temporary one."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     root = f"{shared.rstrip('/')}/lakesync-warehouse/{datetime.now():%Y%m%d%H%M%S%f}" if shared else f"file://{tempfile.mkdtemp(prefix='lakesync-warehouse-')}"
     catalog = Catalog(spark, root)
     catalog.create_namespace(name)
@@ -394,9 +396,58 @@ def sync_three_stage(spark, sf_dir):
     return catalog.load("shop.events").read()
 
 
-@query()
+def _engine(spark: SparkSession, catalog: Catalog, job: str) -> tuple[SyncEngine, Callable[[DataFrame], object]]:
+    """An engine with one job `events` over the view `staged`, and a function that runs it over a frame."""
+    config = parse(_job_config(job))
+    engine = SyncEngine(spark, config, catalogs={"lake": catalog}, sources={"views": SparkSource(spark)})
+
+    def run(df: DataFrame):
+        df.createOrReplaceTempView("staged")
+        return engine.run(config.job("events"))
+
+    return engine, run
+
+
+def _plain_job(sql: str, more: str) -> str:
+    return f"""
+  - name: events
+    source: views
+    destination: lake
+    namespace: shop
+    table: events
+    mode: full
+    sql: {sql}
+    {more}
+"""
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 1 THEN value + 1 ELSE value END AS value FROM events WHERE event_id % 3 <> 0")
+def sync_merge_into(spark, sf_dir):
+    """All events, then a run of changes: every third event is deleted, every third updated, and deletes of unknown events do nothing."""
+    events = _read(spark, sf_dir, "events").select("event_id", "value")
+    _, run = _engine(spark, catalog := _catalog(spark), _plain_job("SELECT * FROM staged", "write_mode: merge_into\n    merge: {key_columns: [event_id]}"))
+    run(events.withColumn("_op", F.lit("I")))
+    changes = events.where("event_id % 3 <> 2").withColumn("_op", F.when(F.col("event_id") % 3 == 0, "d").otherwise("U")).withColumn("value", F.col("value") + 1)
+    run(changes.union(events.select(-F.col("event_id") - 1, "value", F.lit("D"))))
+    return catalog.load("shop.events").read()
+
+
+@query(
+    "SELECT event_id, ts, value FROM events WHERE ts < TIMESTAMP '2024-01-10' OR ts >= TIMESTAMP '2024-01-12' UNION ALL "
+    "SELECT event_id, ts, value + 1 FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-12' AND event_id % 2 = 0"
+)
+def sync_overwrite_days(spark, sf_dir):
+    """A table partitioned by day, of which a second run replaces two days by half as many changed rows."""
+    events = _read(spark, sf_dir, "events").select("event_id", "ts", "value")
+    _, run = _engine(spark, catalog := _catalog(spark), _plain_job("SELECT * FROM staged", "write_mode: overwrite\n    iceberg_partition: {column: ts, transform: day}"))
+    run(events)
+    run(events.where((F.col("ts") >= _ts("2024-01-10")) & (F.col("ts") < _ts("2024-01-12")) & (F.col("event_id") % 2 == 0)).withColumn("value", F.col("value") + 1))
+    return catalog.load("shop.events").read()
+
+
+@query("SELECT 'users' AS queue, 'dlx' AS exchange, 'not json' AS payload, 2 AS users, count(*) AS rows_synced FROM events WHERE user_id IN (7, 8)")
 def consumer_dead_letters(spark, sf_dir):
-    """Two messages run a job, one is no JSON object: it ends in the dead-letter table, which is returned."""
+    """Two messages run a job, one is no JSON object: it ends in the dead-letter table, which is returned beside what the others wrote."""
     from .sources.files import Files
 
     catalog = _catalog(spark)
@@ -407,38 +458,57 @@ def consumer_dead_letters(spark, sf_dir):
     _read(spark, sf_dir, "events").createOrReplaceTempView("staged")
     engine = SyncEngine(spark, config, catalogs={"lake": catalog}, sources={"views": SparkSource(spark)})
     Consumer(spark, engine, config, f"{catalog.warehouse}/checkpoints").run(once=True)
-    return catalog.load("dead_letters.users").read().select("queue", "exchange", "payload")
+    dead = catalog.load("dead_letters.users").read().select("queue", "exchange", "payload")
+    return dead.withColumns({"users": F.lit(2), "rows_synced": F.lit(catalog.load("shop.events").count())})
 
 
-@query()
+@query("SELECT * FROM (VALUES ('field', 'event_id', '1: bigint, optional'), ('field', 'ts', '2: timestamp_ntz, optional'), ('table', 'format-version', '1')) AS t(item, name, value)")
 def describe(spark, sf_dir):
+    """What describes any such table; its location and the names of its files are its own."""
     catalog, _ = _events_table(spark, sf_dir, "event_id:long,ts:timestamp")
-    return catalog.describe("shop.events")
+    return catalog.describe("shop.events").where("name NOT IN ('location', 'current-snapshot-id', 'manifest')")
+
 
+def _history(snapshots: DataFrame, table) -> DataFrame:
+    """Snapshots, newest first, with the rows that each added and holds; ids and times are their own."""
+    held = {s.id: s.summary for s in table.metadata().snapshots}
+    rows = [(i, r["operation"], r["is_current"], held[r["snapshot_id"]]["added-records"], held[r["snapshot_id"]]["total-records"]) for i, r in enumerate(snapshots.collect())]
+    return snapshots.sparkSession.createDataFrame(rows, "age int, operation string, is_current boolean, added long, total long")
 
-@query()
+
+_TENTH = "(SELECT count(*) FROM events WHERE event_id % 10 = 0)"
+
+
+@query(
+    f"SELECT 0 AS age, 'append' AS operation, true AS is_current, {_TENTH} AS added, count(*) + {_TENTH} AS total FROM events "
+    "UNION ALL SELECT 1, 'append', false, count(*), count(*) FROM events"
+)
 def snapshots(spark, sf_dir):
     _, table = _events_table(spark, sf_dir, "event_id:long,ts:timestamp")
     table.append(_every(_read(spark, sf_dir, "events"), "event_id", 10))
-    return table.snapshots()
+    return _history(table.snapshots(), table)
 
 
-@query()
+@query(
+    "SELECT 'total-records' AS statistic, count(*) AS value FROM events UNION ALL SELECT 'added-records', count(*) FROM events "
+    "UNION ALL SELECT 'deleted-records', 0 UNION ALL SELECT 'total-delete-files', 0"
+)
 def table_stats(spark, sf_dir):
     _, table = _events_table(spark, sf_dir, "event_id:long,ts:timestamp")
-    return spark.createDataFrame(sorted(table.stats().items()), "statistic string, value long")
+    found = spark.createDataFrame(sorted(table.stats().items()), "statistic string, value long")
+    return found.where("statistic NOT IN ('total-data-files', 'added-data-files', 'total-files-size')")  # how many files hold the rows is the cluster's affair
 
 
-@query()
+@query(f"SELECT 0 AS age, 'append' AS operation, true AS is_current, {_TENTH} AS added, count(*) + {_TENTH} AS total FROM events")
 def expire_snapshots(spark, sf_dir):
     """What is left after all snapshots but the current one are expired."""
     _, table = _events_table(spark, sf_dir, "event_id:long,ts:timestamp")
     table.append(_every(_read(spark, sf_dir, "events"), "event_id", 10))
     table.expire_snapshots(older_than_days=-1)
-    return table.snapshots()
+    return _history(table.snapshots(), table)
 
 
-@query()
+@query("SELECT 'tier' AS key, '2' AS value")
 def namespace_properties(spark, sf_dir):
     catalog = _catalog(spark)
     catalog.namespace_properties("shop", {"owner": "data", "tier": "1"})

@@ -33,6 +33,8 @@ def literal(value: Any) -> str:
         return "TRUE" if value else "FALSE"
     if isinstance(value, (int, float)):
         return repr(value)
+    if isinstance(value, datetime) and value.tzinfo:
+        return f"TIMESTAMP WITH TIME ZONE '{value.isoformat(' ')}'"
     if isinstance(value, datetime):
         return f"{{ts '{value.isoformat(' ')}'}}"  # JDBC's own notation, which every driver translates
     if isinstance(value, date):
@@ -61,12 +63,12 @@ class SparkSource:
                 if name.endswith(".parquet"):
                     spark.read.parquet(f"{folder.rstrip('/')}/{name}").createOrReplaceTempView(name.removesuffix(".parquet"))
 
-    def query(self, sql: str, parameters: dict[str, Any]) -> DataFrame:
-        """Rows of the query; :name parameters are bound by value, ones it does not use are ignored."""
+    def query(self, sql: str, parameters: dict[str, Any], partition: tuple[str, int, int, int] | None = None) -> DataFrame:
+        """Rows of the query; :name parameters are bound by value, ones it does not use are ignored. partition: ignored, as Spark splits what it reads."""
         names = parameter_names(sql)
         if missing := [n for n in names if n not in parameters]:
             raise ValueError(f"Missing SQL parameter(s): {', '.join(missing)}")
-        args = {n: F.expr(f"timestamp_ntz'{parameters[n].isoformat(' ')}'") if isinstance(parameters[n], datetime) else parameters[n] for n in names}
+        args = {n: F.expr(f"{'timestamp_ltz' if parameters[n].tzinfo else 'timestamp_ntz'}'{parameters[n].isoformat(' ')}'") if isinstance(parameters[n], datetime) else parameters[n] for n in names}
         return normalise(self.spark.sql(sql, args=args) if args else self.spark.sql(sql))
 
 

@@ -14,8 +14,11 @@ from ..functions.coerce import json_parameters
 from ..plans.config import Queue
 
 
-def bridge(uri: str, binding: Queue, put: Callable[[str, str], None], limit: int | None = None) -> int:
-    """Hand each message to put(file name, text); returns the messages handed over. limit: how many to take, all that come by default."""
+def bridge(uri: str, binding: Queue, put: Callable[[str, str], None], limit: int | None = None, idle: float | None = None) -> int:
+    """Hand each message to put(file name, text); returns the messages handed over.
+
+    limit: how many to take, all that come by default; idle: seconds without a message after which to end.
+    """
     try:
         import pika
     except ImportError as error:
@@ -27,7 +30,9 @@ def bridge(uri: str, binding: Queue, put: Callable[[str, str], None], limit: int
     channel.queue_declare(queue=binding.queue, durable=True, arguments=arguments)
     channel.basic_qos(prefetch_count=1)
     try:
-        for method, _, body in channel.consume(binding.queue):
+        for method, _, body in channel.consume(binding.queue, **({"inactivity_timeout": idle} if idle else {})):
+            if method is None:
+                break
             try:
                 text = body.decode()
                 json_parameters(text)

@@ -1,6 +1,7 @@
 """Message-triggered runs on Structured Streaming: every message is a JSON object of parameters for one run of a job.
 
-A queue is a folder, <uri>/<queue>/, into which files of JSON lines are dropped. Messages of a micro-batch run in
+A queue is a folder, <uri>/<queue>/, into which files of JSON lines are dropped; with an amqp: or amqps: uri messages are
+fetched from the broker into such a folder beside the checkpoints, a file each. Messages of a micro-batch run in
 order. Each run commits how far its queue has come together with its rows, so a micro-batch that is replayed after a
 failure skips what was done. A message that is no JSON object, or whose run fails after its retries, goes to the
 dead-letter table of its queue, and the rest goes on.
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import logging
 from datetime import UTC, datetime
+from threading import Thread
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +21,14 @@ from ..functions.coerce import json_parameters
 from ..functions.idents import parse_schema
 from ..plans.config import Config, Queue
 from ..plans.engine import SyncEngine
+from .amqp import bridge
 
 log = logging.getLogger(__name__)
 DEAD_LETTERS = "queue:string,exchange:string,payload:string,error:string,failed_at:timestamp"
 #: Message files that a micro-batch takes at most.
 FILES_PER_BATCH = 100
+#: Without a message for so long a broker's queue counts as empty when a run is to end.
+IDLE_SECONDS = 2.0
 
 
 class Consumer:
@@ -59,11 +64,25 @@ class Consumer:
                 log.error("Queue '%s': %s", binding.queue, error)
                 self._dead(binding, row["value"], error)
 
+    @property
+    def broker(self) -> bool:
+        return self.config.rabbitmq.uri.startswith(("amqp:", "amqps:"))
+
+    def folder(self, binding: Queue) -> str:
+        """Where the messages of a queue are read from."""
+        return f"{f'{self.checkpoints}/messages' if self.broker else self.config.rabbitmq.uri.rstrip('/')}/{binding.queue}"
+
+    def fetch(self, binding: Queue, idle: float | None = None) -> int:
+        """Messages of a broker's queue to its folder, until none comes for `idle` seconds."""
+        from ..sources.files import Files
+
+        return bridge(self.config.rabbitmq.uri, binding, lambda name, text: Files(self.spark).create(f"{self.folder(binding)}/{name}", text), idle=idle)
+
     def start(self, binding: Queue, once: bool = False) -> StreamingQuery:
         """A streaming query for one queue; once: end when all messages that are there have run."""
         from ..sources.files import Files
 
-        folder = f"{self.config.rabbitmq.uri.rstrip('/')}/{binding.queue}"
+        folder = self.folder(binding)
         Files(self.spark).mkdirs(folder)
         messages = self.spark.readStream.format("text").option("maxFilesPerTrigger", FILES_PER_BATCH).load(folder).select("value", "_metadata")
         writer = messages.writeStream.queryName(f"sync {binding.queue}").option("checkpointLocation", f"{self.checkpoints}/{binding.queue}")
@@ -72,6 +91,12 @@ class Consumer:
 
     def run(self, once: bool = False) -> None:
         """All queues, each by a query of its own, until they end."""
+        if self.broker:
+            for binding in self.config.rabbitmq.queues:
+                if once:
+                    self.fetch(binding, IDLE_SECONDS)
+                else:
+                    Thread(target=self.fetch, args=(binding,), daemon=True, name=f"fetch {binding.queue}").start()
         queries = [self.start(binding, once) for binding in self.config.rabbitmq.queues]
         for query in queries:
             query.awaitTermination()

@@ -1,4 +1,5 @@
 import duckdb
+import pandas as pd
 import pytest
 from conftest import DATA
 
@@ -19,7 +20,7 @@ def oracle():
 def plain(frame):
     frame = frame[sorted(frame.columns)].astype(object)
     number = lambda v: float(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)[:19].replace(" 00:00:00", "")
-    return sorted(repr([None if v is None or v != v else number(v) for v in row]) for row in frame.values.tolist())
+    return sorted(repr([None if pd.isna(v) else number(v) for v in row]) for row in frame.values.tolist())
 
 
 @pytest.mark.parametrize("name", ORACLE_SQL)
