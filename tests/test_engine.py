@@ -1,4 +1,4 @@
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from conftest import rows
@@ -217,6 +217,7 @@ def test_jdbc(spark):
     df = source.query('SELECT "id", "at", "price" FROM src WHERE "at" > :watermark', {"watermark": datetime(2024, 1, 1, 10)})
     assert df.count() == 9 and df.schema.simpleString() == "struct<id:bigint,at:timestamp_ntz,price:double>"
     assert source.query('SELECT "id" FROM src', {}, ("id", 0, 20, 4)).rdd.getNumPartitions() == 4
+    assert literal(datetime(2024, 1, 1, tzinfo=UTC)) == "TIMESTAMP WITH TIME ZONE '2024-01-01 00:00:00+00:00'" and literal(datetime(2024, 1, 1)) == "{ts '2024-01-01 00:00:00'}"
     from lakesync.operators.paging import page_sql
 
     page = page_sql('SELECT "id" FROM src', '"id"', 5, dialect="fetch")
@@ -252,3 +253,27 @@ sync_jobs:
     assert world.table.count() == 3
     with pytest.raises(ValueError):
         Consumer(spark, engine, world.config, "x")
+
+
+def test_watermark_type_and_parallel_read_reach_the_source(spark, tmp_path):
+    from lakesync.plans.config import ConfigError, parse
+    from lakesync.plans.engine import SyncEngine
+
+    text = """
+sources: {s: {type: spark}}
+destinations: {d: {warehouse: x}}
+sync_jobs: [{name: j, source: s, destination: d, namespace: n, table: t, sql: SELECT 1, watermark_column: at, MORE}]
+"""
+    asked = []
+
+    class Spy:
+        def query(self, sql, parameters, partition=None):
+            asked.append((parameters["watermark"], partition))
+            return spark.createDataFrame([], "at timestamp_ntz")
+
+    for more in ("watermark_type: timestamptz", "watermark_type: timestamp, parallel_read: {column: id, lowest: 0, highest: 9, connections: 3}"):
+        config = parse(text.replace("MORE", more))
+        SyncEngine(spark, config, sources={"s": Spy()}, dry_run=True, catalogs={"d": Catalog(spark, f"file://{tmp_path}/w")}).run(config.job("j"))
+    assert asked == [(datetime(1970, 1, 1, tzinfo=UTC), None), (datetime(1970, 1, 1), ("id", 0, 9, 3))]
+    with pytest.raises(ConfigError):
+        parse(text.replace("MORE", "parallel_read: {column: id, lowest: 9, highest: 0, connections: 3}"))

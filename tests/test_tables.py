@@ -131,3 +131,42 @@ def test_drop_and_purge(spark, catalog):
         done = catalog.drop_table("n.t", purge)
         assert all(table.files.exists(p) != purge for p in paths) and (done[0] > len(paths)) == purge and done[1] == 0
         assert catalog.drop_table("n.t") is None
+
+
+def test_ranges_prune_files(spark, tmp_path):
+    """Files outside the wanted values are not opened; what is read is the same as without ranges."""
+    from datetime import date, datetime
+
+    from lakesync.sources.footers import meets
+
+    schema = parse_schema("id:long,name:string,day:date,at:timestamp,x:double")
+    table = SnapshotTable.create(spark, f"file://{tmp_path}/t", schema)
+    rows = lambda ids: [(i, None if i % 10 == 9 else f"n{i:03d}", date(2024, 1, 1 + i // 10), datetime(2024, 1, 1, i // 10, i % 10), i / 2) for i in ids]
+    for k in range(0, 50, 10):
+        table.append(spark.createDataFrame(rows(range(k, k + 10)), schema).coalesce(1))
+    table.append(spark.createDataFrame([(None, None, None, None, None)], schema).coalesce(1))
+    first = table.manifest()[0]
+    assert first.ranges == {"1": [0, 9, False], "2": ["n000", "n008", True], "3": ["2024-01-01", "2024-01-01", False], "4": ["2024-01-01T00:00:00.000000", "2024-01-01T00:09:00.000000", False]}
+    keys = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id long")
+    near = lambda df, *c: [f.ranges["1"][0] for f in table._near(table.manifest(), df.toDF("__key_0"), list(c))]
+    assert near(keys(12, 25), "id") == [10, 20] and near(keys(99), "id") == [] and near(keys(None), "id") == [None] and near(keys(12, None), "id") == [10, None]
+    assert near(spark.createDataFrame([("n013",)], "n string"), "name") == [10] and near(spark.createDataFrame([(None,)], "n string"), "name") == [0, 10, 20, 30, 40, None]
+    assert [f.ranges["1"][0] for f in table.files_matching(keys(12, 34), ["id"])] == [10, 30] and table.files_matching(keys(-5), ["id"]) == []
+    for between, want in (({"id": (12, 14)}, [12, 13, 14]), ({"id": (None, 1), "x": (0.5, None)}, [1]), ({"day": (date(2024, 1, 5), None)}, list(range(40, 50))), ({"at": (datetime(2024, 1, 1, 2, 3), datetime(2024, 1, 1, 2, 4))}, [23, 24]), ({"name": ("n047", None)}, [47, 48])):
+        found = table.read(between=between)
+        assert sorted(r["id"] for r in found.collect()) == want and len(found.inputFiles()) <= (6 if "x" in between and "id" not in between else 1)
+    table.drop_column("name")
+    table.add_column("name", schema["name"].dataType)
+    assert sorted(r["id"] for r in table.read(between={"id": (3, 4)}).collect()) == [3, 4] and table.read(between={"name": ("a", None)}).count() == 0
+    assert meets(None, [1, 2, False]) and not meets([None, None, True], [1, 2, False]) and meets(["a", "b", False], [1, 2, False])
+
+
+def test_many_footers_are_read_by_the_executors(spark, tmp_path, monkeypatch):
+    from lakesync.sources import footers
+
+    schema = parse_schema("id:long")
+    table = SnapshotTable.create(spark, f"file://{tmp_path}/t", schema)
+    files = table.write_files(spark.range(100).repartition(5))
+    monkeypatch.setattr(footers, "ON_THE_DRIVER", 2)
+    again = footers.footers(spark, [f.path for f in files])
+    assert {f.path: (f.records, f.ranges["1"]) for f in files} == {p: (n, r["id"]) for p, (n, r) in again.items()} and sum(n for n, _ in again.values()) == 100
