@@ -49,7 +49,7 @@ BLOCK, BLOCK_BYTES, TILE = 1024, 8 << 20, 256
 #: Rows of a bucket on either side that are paired in one cell.
 CELL = 4096
 #: Word hashes that a worker keeps.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 50_000
 _WORD = re.compile(r"\w+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # 2^64 divided by the golden ratio
 
