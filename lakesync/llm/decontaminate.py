@@ -135,7 +135,8 @@ def contaminated(
     values = indexed.select("item", "n_words", F.posexplode("item_bits").alias("block", "bits")).select("item", "n_words", "block", "bits", masks.alias("masks"))
     values = values.select("item", "n_words", "block", F.explode(F.transform("masks", lambda m: m.bitwiseXOR(F.col("bits")))).alias("value"))
     probes = distinct.select("window", "n_words", F.posexplode("bits").alias("block", "value"))
-    pairs = probes.join(values, ["n_words", "block", "value"]).select("window", "item", "n_words").distinct()
+    # The index grows with the benchmark, and Spark would broadcast it by its size before the masks multiply it.
+    pairs = probes.join(values.hint("merge"), ["n_words", "block", "value"]).select("window", "item", "n_words").distinct()
     near = pairs.join(distinct.select("window", "bits"), "window").join(indexed, ["item", "n_words"])
     near = near.withColumn("hamming", distance(F.col("bits"), F.col("item_bits"))).where(F.col("hamming") <= RADIUS).join(distinct.select("window", "words"), "window")
     bags = near.select("window", "item", "n_words", "hamming", bag(shingles(F.col("words"))).alias("a"), bag(F.col("item_shingles")).alias("b"))
