@@ -27,6 +27,8 @@ N, THRESHOLD = 5, 0.8
 BLOCKS, NEAR = 8, 3
 RADIUS = BLOCKS * (NEAR + 1) - 1
 WORD = r"[\p{L}\p{N}]+"
+#: Texts of fewer words have their bits counted in lanes of 16 bits, four to a long; longer ones in lanes of 32.
+LANE_WORDS = 1 << 15
 #: Anchors (16 bytes each) that are sent to all executors at once; more are looked for block by block, a scan of the documents each.
 BLOCK_ANCHORS = 1_000_000
 
@@ -45,16 +47,27 @@ def shingles(words: Column) -> Column:
 
 def simhash(words: Column) -> Column:
     """Blocks of 16 bits, each bit set if more of the words' hashes have it set than not."""
-    more = F.transform(words, lambda w: F.xxhash64(w))
+    size = F.size(words)
 
-    def bit(source: Column, at: Column) -> Column:
-        votes = F.aggregate(source, F.lit(0), lambda s, w: s + F.when(F.call_function("getbit", w, at) == 1, 1).otherwise(-1))
-        return (votes > 0).cast("int")
+    def counts(source: Column, lane: int) -> Column:
+        """At k, how many hashes have bits k, k + lane, ... set, each number in a lane of a long."""
+        ones = F.lit(sum(1 << low for low in range(0, 64, lane)))
+        at = lambda w, k: F.call_function("shiftrightunsigned", w, k).bitwiseAND(ones)
+        return F.transform(F.sequence(F.lit(0), F.lit(lane - 1)), lambda k: F.aggregate(source, F.lit(0).cast("long"), lambda s, w: s + at(w, k)))
 
-    def block(source: Column, quarter: int) -> Column:
-        return F.aggregate(F.sequence(F.lit(0), F.lit(15)), F.lit(0), lambda s, k: s * 2 + bit(source, k + 16 * quarter))
+    def block(counted: Column, quarter: int, lane: int) -> Column:
+        first, shift = 16 * quarter % lane, 16 * quarter // lane * lane
 
-    return F.array(*(block(words if b < 4 else more, b % 4) for b in range(BLOCKS)))
+        def bit(c: Column) -> Column:
+            return (F.shiftrightunsigned(c, shift).bitwiseAND(F.lit(2**lane - 1)) * 2 > size).cast("int")
+
+        return F.aggregate(F.slice(counted, first + 1, 16), F.lit(0), lambda s, c: s * 2 + bit(c))
+
+    def blocks(lane: int) -> Column:
+        both = F.transform(F.array(words, F.transform(words, lambda w: F.xxhash64(w))), lambda source: counts(source, lane))
+        return F.transform(F.array(both), lambda c: F.array(*(block(c[b // 4], b % 4, lane) for b in range(BLOCKS))))[0]
+
+    return F.when(size < LANE_WORDS, blocks(16)).otherwise(blocks(32))
 
 
 def distance(a: Column, b: Column) -> Column:

@@ -121,6 +121,48 @@ def test_index_finds_every_fingerprint_within_the_radius(spark):
     assert row["d"] == 1 and len(set(row["b"])) == 3
 
 
+def test_fingerprints_are_the_majority_of_each_bit(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    def plain(words, more):
+        bits = [sum((w >> k & 1) * 2 - 1 for w in source) > 0 for source in (words, more) for k in range(64)]
+        return [int("".join(str(int(x)) for x in bits[16 * b : 16 * b + 16]), 2) for b in range(dc.BLOCKS)]
+
+    draw = random.Random(4)
+    cases = [[draw.randrange(-(2**63), 2**63) for _ in range(n)] for n in (0, 1, 2, 5, 36, 301)] + [[-1] * 7, [0] * 7, [-1, 0], [-(2**63)] * 3]
+    cases += [[-1] * 32_767, [-1] * 40_000, [-1] * 32_768 + [0] * 32_768, [draw.choice((-1, 0, 1 << 47, -(2**63))) for _ in range(70_000)]]
+    docs = spark.createDataFrame([(k, c) for k, c in enumerate(cases)], "k int, words array<bigint>").withColumn("more", F.transform("words", lambda w: F.xxhash64(w)))
+    for lane_words in (dc.LANE_WORDS, 6):
+        monkeypatch.setattr(dc, "LANE_WORDS", lane_words)
+        for r in docs.withColumn("bits", dc.simhash(F.col("words"))).collect():
+            assert r["bits"] == plain(r["words"], r["more"]), (lane_words, r["k"])
+
+
+def test_fingerprints_need_no_pass_for_each_bit(spark):
+    """A pass over the words for each bit, which hashed all of them once more, took half of the operator's time."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    def by_bit(words):
+        more = F.transform(words, lambda w: F.xxhash64(w))
+        votes = lambda source, k: F.aggregate(source, F.lit(0), lambda s, w: s + F.when(F.call_function("getbit", w, k) == 1, 1).otherwise(-1))
+        block = lambda source, q: F.aggregate(F.sequence(F.lit(0), F.lit(15)), F.lit(0), lambda s, k: s * 2 + (votes(source, k + 16 * q) > 0).cast("int"))
+        return F.array(*(block(words if b < 4 else more, b % 4) for b in range(dc.BLOCKS)))
+
+    words = spark.range(0, 3_000, 1, 1).select(F.transform(F.sequence(F.lit(1), F.lit(36)), lambda k: F.xxhash64(k, "id")).alias("w")).cache()
+    assert words.where(dc.simhash(F.col("w")) != by_bit(F.col("w"))).count() == 0
+
+    def took(column):
+        begun = time.time()
+        words.select(column.alias("x")).write.format("noop").mode("overwrite").save()
+        return time.time() - begun
+
+    least = {k: min(took(f(F.col("w"))) for _ in range(4)) for k, f in (("lanes", dc.simhash), ("bits", by_bit))}
+    words.unpersist()
+    assert least["lanes"] < 0.6 * least["bits"], least
+
+
 def test_odd_documents(spark):
     docs = odd_documents(spark)
     items = spark.createDataFrame([(1, sentence(1)), (2, ""), (None, sentence(7, 30))], "item_id long, text string")
