@@ -83,10 +83,11 @@ def spread_join(many: DataFrame, one: DataFrame, key: str, by: Column, counts: D
     spark = many.sparkSession
     least = max(HOT_LEAST, (counts.agg(F.sum("n")).first()[0] or 0) // HOT_KEYS)
     hot = counts.where(F.col("n") > least).select(key, F.ceil(F.col("n") / F.lit(least)).cast("int").alias("hot_parts"))
-    found = hot.collect()
-    if not found:
+    found = hot._jdf.collectAsList()
+    if found.isEmpty():
         return many.join(one, key, how)
-    hot = F.broadcast(spark.createDataFrame(found, hot.schema))
+    # A local relation: rows from Python would be an RDD, for which every executor starts Python workers beside those of Arrow.
+    hot = F.broadcast(DataFrame(spark._jsparkSession.createDataFrame(found, hot._jdf.schema()), spark))
     parts = F.coalesce("hot_parts", F.lit(1))
     many = many.join(hot, key, "left").withColumn("hot_part", F.pmod(F.xxhash64(by), parts).cast("int")).drop("hot_parts")
     one = one.join(hot, key, "left").withColumn("hot_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("hot_parts")

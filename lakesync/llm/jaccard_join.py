@@ -346,7 +346,8 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     groups = scratch.table(spread_join(groups.select("rep", "leader"), sizes.select("leader", "blocks"), "leader", F.col("rep"), sizes), "groups")
     wanted = groups.select("rep").union(pairs.select("a")).union(pairs.select("b")).distinct().join(reps.select("rep", "place"), "rep")
     asked = texts.select("text", place).join(wanted.select("rep", F.col("place").alias("wanted")), F.col("place").eqNullSafe(F.col("wanted"))).groupBy("rep").agg(F.first("text").alias("text"))
-    sets = asked.select("rep", F.pandas_udf(_sets, "key long, set binary")("text").alias("s")).where("s.key = rep").select("rep", "s.set")
+    shingled = F.pandas_udf(_sets, "key long, set binary").asNondeterministic()  # else the filter gets a call, and each task a worker, of its own
+    sets = asked.select("rep", shingled("text").alias("s")).where("s.key = rep").select("rep", "s.set")
     sets = scratch.table(sets, "sets")
 
     blocks = groups.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))

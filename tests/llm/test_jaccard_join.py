@@ -1,9 +1,11 @@
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
 import pandas as pd
 import pytest
+from conftest import rows
 from helpers import SHAPE, odd_documents, sentence
 
 from lakesync.llm import jaccard_join as jj
@@ -119,3 +121,33 @@ def test_components(spark):
     found = components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "test"))
     assert {r["node"]: r["root"] for r in found.collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 7: 7} | {k: 20 for k in range(20, 41)}
     assert components(spark.createDataFrame([], "a long, b long"), Scratch(spark, "test")).count() == 0
+
+
+def test_a_task_has_one_python_function(spark, monkeypatch):
+    """Each function in a plan gets a Python worker of its own in every task, and idle workers keep their memory."""
+    plans, table = {}, Scratch.table
+
+    def seen(self, df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return table(self, df, name)
+
+    monkeypatch.setattr(Scratch, "table", seen)
+    assert jj.near_duplicates(odd_documents(spark)).count() > 0
+    counts = {name: len(re.findall("ArrowEvalPython|FlatMapGroupsInPandas", plan)) for name, plan in plans.items()}
+    assert counts["sets"] == counts["described"] == counts["inside"] == 1 and max(counts.values()) == 1, counts
+
+
+def test_hot_keys_need_no_python_workers(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from lakesync.llm import common
+
+    monkeypatch.setattr(common, "HOT_LEAST", 2)
+    for key in (F.col("id") % 4, F.concat(F.lit("k"), F.col("id") % 4), F.struct((F.col("id") % 4).alias("a"), F.lit("x").alias("b"))):
+        many = spark.range(40).where("id % 4 < 2 or id < 8").withColumn("key", key)
+        one = many.groupBy("key").agg(F.max("id").alias("most")).where("most <> 2 and most <> 6")
+        counts = many.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        for how in ("inner", "left"):
+            found = common.spread_join(many, one, "key", F.col("id"), counts, how)
+            assert not re.search("RDD", found._jdf.queryExecution().optimizedPlan().toString())
+            assert rows(found.select("id", "most")) == rows(many.join(one, "key", how).select("id", "most"))
